@@ -307,6 +307,84 @@ ORACLES = {
     "sealed_batches_stream": _SEALED,
     "stream_resume": _SEALED,
     "stream_sink": "select batch_start, dirs from fx_sealed",
+    "archive_job": """
+        with due as (select first as batch_start, last as batch_end from fx_expected
+                     where last = first + 99 and last <= (select greatest(max(event_id) - 100, 0) // 100 * 100 from events)
+                       and concat('archives/', first, '-', last, '.tar.zst') not in (select key from fx_archive)),
+        rows as (select height, size from fx_sources join fx_winner using (height, priority)
+                 union all select height, size from fx_shard_obj
+                 where priority = 3 and height not in (select height from fx_sources)),
+        got as (select height // 100 * 100 as batch_start, count(distinct height) as dirs, count(*) as files,
+                       cast(sum(size) as bigint) as bytes from rows group by 1)
+        select batch_start, batch_end, coalesce(dirs, 0) as dirs, coalesce(files, 0) as files, coalesce(bytes, 0) as bytes,
+               100 - coalesce(dirs, 0) as empty_heights, case when files > 0 then 'archived' else 'empty' end as status
+        from due left join got using (batch_start)""",
+    "stage_job": """
+        select s.height // 1000 * 1000 as batch_start, s.height // 1000 * 1000 + 999 as batch_end,
+               count(distinct s.height) as dirs,
+               count(*) filter (l.height is null) as files_fetched, count(l.height) as files_skipped,
+               cast(coalesce(sum(s.size) filter (l.height is null), 0) as bigint) as bytes_fetched,
+               cast(coalesce(sum(l.size), 0) as bigint) as bytes_skipped
+        from (select * from fx_shard_obj where priority = 1) s
+        left join (select * from fx_shard_obj where priority = 2 and size > 0) l
+          on l.height = s.height and l.member = s.member group by 1, 2""",
+    "fix_gaps_job": """
+        select height // 100 * 100 as batch_start, count(*) as found,
+               count(*) filter (height in (select height from fx_fallback)) as filled,
+               count(*) filter (height not in (select height from fx_fallback)) as failed
+        from fx_no_block group by 1""",
+    "audit_repair_job": """
+        with arch as (select first, last, min(key) as key from fx_parsed where last >= 0 group by 1, 2),
+        want as (select first, last, unnest(generate_series(first, last)) as height from arch),
+        whole as (select *, first % 100 = 0 and last = first + 99 as aligned from want),
+        gone as (select first, last, aligned, height from whole
+                 where not aligned or height in (select height from fx_miss_h)),
+        part as (select w.first, w.last, s.height, s.shard_id from whole w join fx_miss_s s using (height) where aligned),
+        left_over as (select first, last from gone
+                      where (aligned and height in (select height from fx_after_h))
+                         or (not aligned and height not in (select height from fx_fallback))
+                      union select w.first, w.last from whole w join fx_after_s s using (height) where aligned),
+        sums as (select a.*, (select count(*) from gone g where g.first = a.first and g.last = a.last) as missing_heights,
+                        (select count(*) from part p where p.first = a.first and p.last = a.last) as missing_shards from arch a)
+        select key as archive_key, first as batch_start, last as batch_end, missing_heights, missing_shards,
+               case when missing_heights + missing_shards = 0 then 'ok'
+                    when exists (select 1 from left_over l where l.first = s.first and l.last = s.last) then 'incomplete'
+                    else 'repaired' end as status
+        from sums s""",
+    "validate_job": """
+        with lim as (select 0 as low, max(height) as high from fx_block),
+        clip as (select greatest(first, low) as a, least(last, high) + 1 as z from fx_parsed, lim
+                 where last >= low and first <= high),
+        step as (select a as p, 1 as s from clip union all select z, -1 from clip
+                 union all select low, 0 from lim union all select high + 1, 0 from lim),
+        point as (select p, sum(s) as s from step group by p
+                  having sum(s) <> 0 or p = (select low from lim) or p = (select high + 1 from lim)),
+        seg as (select p as first, lead(p) over (order by p) - 1 as last, sum(s) over (order by p) as depth from point)
+        select (select count(*) from fx_expected) as expected, (select count(*) from fx_missing_range) as missing,
+               (select string_agg(concat(first, '-', last), ',' order by first, last)
+                from (select * from fx_missing_range order by first, last limit 50)) as first_missing,
+               (select cast(coalesce(sum(n), 0) as bigint) from (select count(*) as n from fx_parsed group by first, last having count(*) > 1)) as duplicates,
+               (select count(*) from seg where last >= first and depth = 0) as gaps,
+               (select count(*) from seg where last >= first and depth > 1) as overlaps""",
+    "copy_job": r"""
+        with v as (select s.key, d.key as held,
+                     case when d.key is null then 'missing' when s.size <> d.size then 'size_mismatch'
+                          when regexp_matches(d.etag, '^[0-9a-f]{32}$') and s.etag <> d.etag then 'md5_mismatch'
+                          else 'ok' end as verdict
+                   from (select concat('copied/', substr(key, 10)) as key, size, etag from fx_src) s
+                   left join fx_dst d on d.key = s.key)
+        select count(*) as listed, 0 as skipped_filter, count(held) as skipped_existing,
+               count(*) - count(held) as copied, count(*) filter (verdict = 'ok') as ok,
+               count(*) filter (verdict = 'missing') as missing,
+               count(*) filter (verdict = 'size_mismatch') as size_mismatch,
+               count(*) filter (verdict = 'md5_mismatch') as md5_mismatch from v""",
+    "exists_job": """
+        select concat('archives/', first, '-', last, '.tar.zst') as key,
+               case when concat('archives/', first, '-', last, '.tar.zst') in (select key from fx_archive)
+                    then 'FOUND' else 'MISSING' end as status from fx_expected""",
+    "purge_plan_job": """
+        select page, count(*) as objects, cast(sum(size) as bigint) as bytes
+        from (select size, (row_number() over (order by md5(key), key) - 1) // 1000 as page from fx_src) group by 1""",
     "stream_gap_counts": "select batch_start, batch_end, dirs as seen, 1000 - dirs as missing from fx_sealed",
 }
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..functions import checks, keys
 from ..operators import copying, gaps, ranges, stats
+from ..plans import jobs
 from ..schemas import CONTROL
 from ..session import configure, materialise, scratch_path
 from ..sinks import archives as tar_sink
@@ -736,3 +737,106 @@ def stream_gap_counts(spark, d):
     sealing.resume(counts, f"{folder}/out", f"{folder}/ck").awaitTermination()
     schema = "batch_start bigint, batch_end bigint, seen bigint, missing bigint"
     return spark.read.schema(schema).parquet(f"{folder}/out")
+
+
+# --- whole jobs
+
+
+def with_source(df, name, priority):
+    return df.select(F.lit(name).alias("source"), F.lit(priority).alias("priority"), "*")
+
+
+@query
+def archive_job(spark, d):
+    folder = scratch_path(spark, "archive")
+    return jobs.archive_job(
+        fx.sources(spark, d),
+        fx.archives(spark, d),
+        f"{folder}/out",
+        start_from=START,
+        size=RANGE,
+        latest=inventory.latest_height(fx.heads(spark, d)),
+        hot=HOT,
+        fallback=fx.fallback(spark, d),
+        control_path=f"{folder}/control",
+        stats_path=f"{folder}/stats",
+    )
+
+
+@query
+def stage_job(spark, d):
+    one, two = first_and_second(spark, d)
+    low, high = inventory.height_bounds(fx.block(spark, d))
+    out = scratch_path(spark, "staged")
+    return jobs.stage_job(with_source(one, "first", 1), two, out, start_from=low, stop_at=high, size=SIZE)
+
+
+@query
+def fix_gaps_job(spark, d):
+    folder = scratch_path(spark, "gaps")
+    have = ranges.assign_batch(fx.block_objects(spark, d), START, RANGE).withColumn("parent", F.lit("data"))
+    return jobs.fix_gaps_job(
+        batch_names(spark, d),
+        have,
+        fallback(spark, d),
+        f"{folder}/out",
+        base_url="https://api.example.org/v0/block",
+        api_key="K",
+        events_path=f"{folder}/events",
+    )
+
+
+def with_headers(spark, d, rows):
+    """Adds the JSON header to the non-empty blocks among `rows`."""
+    payload = fx.block_payloads(spark, d).select(
+        "height", F.lit("block.json").alias("member"), F.col("payload").alias("_p")
+    )
+    header = F.when(
+        (F.col("member") == "block.json") & (F.col("size") > 0), F.coalesce(F.col("_p"), F.lit('{"chunks":[]}'))
+    )
+    return rows.join(payload, ["height", "member"], "left").withColumn("payload", header).drop("_p")
+
+
+@query
+def audit_repair_job(spark, d):
+    folder = scratch_path(spark, "audit")
+    members = with_headers(spark, d, primary(spark, d)).withColumn("parent", F.lit("data"))
+    sink.write_batches(members, f"{folder}/batches", START, RANGE)
+    summary = jobs.audit_repair_job(
+        fx.archives(spark, d),
+        sink.read_batches(spark, f"{folder}/batches"),
+        with_headers(spark, d, fallback(spark, d)),
+        f"{folder}/batches",
+        base_url="https://api.example.org/v0/block",
+        events_path=f"{folder}/events",
+    )
+    return summary.drop("error")
+
+
+@query
+def validate_job(spark, d):
+    stop = inventory.height_bounds(fx.block(spark, d))[1]
+    path = scratch_path(spark, "validation")
+    return jobs.validate_job(fx.archives(spark, d), start_from=START, stop_at=stop, size=RANGE, stats_path=path)
+
+
+@query
+def copy_job(spark, d):
+    return jobs.copy_job(
+        fx.source_objects(spark, d),
+        fx.dest_objects(spark, d),
+        source_prefix="archives/",
+        dest_prefix="copied/",
+        copy_all_under_prefix=True,
+    )
+
+
+@query
+def exists_job(spark, d):
+    names = expected(spark, d).select(keys.archive_key("batch_start", "batch_end").alias("key"))
+    return jobs.exists_job(names, fx.archives(spark, d))
+
+
+@query
+def purge_plan_job(spark, d):
+    return jobs.purge_plan_job(fx.source_objects(spark, d), "archives/")

@@ -2,122 +2,141 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.checks import batch_start, is_present, whole_div
 from ..functions.keys import shard_member
-from .common import slice_width
+from .common import broadcast_within, slice_width
 
 BLOCK = "block.json"
+HEIGHT = ("height",)
 
 
-def present_heights(objects: DataFrame) -> DataFrame:
+def present_heights(objects: DataFrame, by: Sequence[str] = HEIGHT) -> DataFrame:
     """Heights with a non-empty block, without repeats."""
     blocks = objects.where((F.col("member") == BLOCK) & is_present("size"))
-    return blocks.select("height").distinct()
+    return blocks.select(*by).distinct()
+
 
+def missing_heights(domain: DataFrame, objects: DataFrame, by: Sequence[str] = HEIGHT) -> DataFrame:
+    """Heights of `domain` without a non-empty block in `objects` (``height, member, size``).
 
-def missing_heights(domain: DataFrame, objects: DataFrame) -> DataFrame:
-    """Heights of `domain` without a non-empty block in `objects` (``height, member, size``)."""
-    return domain.join(present_heights(objects), "height", "left_anti")
+    `by` names the columns that identify a height, for example with its archive.
+    """
+    return domain.join(present_heights(objects, by), list(by), "left_anti")
 
 
-def missing_shards(expected: DataFrame, objects: DataFrame) -> DataFrame:
+def missing_shards(expected: DataFrame, objects: DataFrame, by: Sequence[str] = HEIGHT) -> DataFrame:
     """Expected shards without a non-empty file, for heights whose block is present.
 
     `expected` holds ``height, shard_id``, `objects` holds ``height, member, size``.
     """
-    blocks = present_heights(objects)
-    wanted = expected.join(blocks, "height", "left_semi").withColumn("member", shard_member("shard_id"))
-    found = objects.where((F.col("member") != BLOCK) & is_present("size")).select("height", "member").distinct()
-    return wanted.join(found, ["height", "member"], "left_anti").drop("member")
+    blocks = present_heights(objects, by)
+    wanted = expected.join(blocks, list(by), "left_semi").withColumn("member", shard_member("shard_id"))
+    files = objects.where((F.col("member") != BLOCK) & is_present("size"))
+    found = files.select(*by, "member").distinct()
+    return wanted.join(found, [*by, "member"], "left_anti").drop("member")
 
 
-def first_source(objects: DataFrame) -> DataFrame:
+def first_source(objects: DataFrame, check_overlap: bool = False) -> DataFrame:
     """All members of each height from the first source that lists any object of it.
 
     Sources are never mixed within a height, and empty files count as listed.
+
+    By default the wide rows meet one small row per height in an equi-join, where AQE splits
+    a height that holds too much. With `check_overlap`, listings that lose are counted first;
+    if they are few enough to broadcast, the wide rows are not shuffled at all.
     """
-    # One small row per height, combined before the shuffle; the wide rows meet it in an
-    # equi-join, where AQE splits a height that holds too much.
-    winner = objects.groupBy("height").agg(F.min("priority").alias("priority"))
-    return objects.join(winner, ["height", "priority"], "left_semi")
+    if not check_overlap:
+        winner = objects.groupBy("height").agg(F.min("priority").alias("priority"))
+        return objects.join(winner, ["height", "priority"], "left_semi")
+    listed = objects.select("height", "priority").distinct()
+    best = listed.groupBy("height").agg(F.min("priority").alias("_best"))
+    losing = listed.join(best, "height").where("priority > _best").select("height", "priority")
+    return objects.join(broadcast_within(losing), ["height", "priority"], "left_anti")
 
 
-def refetch_set(missing_h: DataFrame, missing_s: DataFrame) -> DataFrame:
+def refetch_set(missing_h: DataFrame, missing_s: DataFrame, by: Sequence[str] = HEIGHT) -> DataFrame:
     """Heights to fetch again: absent ones and those with an absent shard."""
-    return missing_h.select("height").union(missing_s.select("height")).distinct()
+    return missing_h.select(*by).union(missing_s.select(*by)).distinct()
 
 
-def fill_gaps(primary: DataFrame, fallback: DataFrame, wanted: DataFrame) -> DataFrame:
+def fill_gaps(primary: DataFrame, fallback: DataFrame, wanted: DataFrame, by: Sequence[str] = HEIGHT) -> DataFrame:
     """`primary` with the members of the `wanted` heights taken from `fallback`.
 
     A fetched member replaces the one of the same name; other members of the height stay.
-    Both inputs hold ``height, member`` and the same further columns.
+    Both inputs hold ``height, member`` and the same further columns; columns that `wanted` has
+    beside the height, for example its archive, are added to the fetched rows.
     """
-    fetched = fallback.join(wanted.select("height"), "height", "left_semi")
-    kept = primary.join(fetched.select("height", "member"), ["height", "member"], "left_anti")
+    fetched = fallback.join(wanted, "height")
+    kept = primary.join(fetched.select(*by, "member"), [*by, "member"], "left_anti")
     return kept.unionByName(fetched.select(*primary.columns))
 
 
-def fallback_missing(wanted: DataFrame, fallback: DataFrame) -> DataFrame:
+def fallback_missing(wanted: DataFrame, fallback: DataFrame, by: Sequence[str] = HEIGHT) -> DataFrame:
     """Wanted heights the fallback does not have."""
-    return wanted.select("height").join(fallback.select("height").distinct(), "height", "left_anti")
+    return wanted.select(*by).join(fallback.select("height").distinct(), "height", "left_anti").select(*by)
 
 
-def batch_gaps(missing_h: DataFrame, missing_s: DataFrame, start: int, size: int) -> DataFrame:
+def _batched(df: DataFrame, start: int, size: int) -> DataFrame:
+    """Adds the batch by arithmetic unless the rows already say which one they belong to."""
+    return df if "batch_start" in df.columns else df.withColumn("batch_start", batch_start("height", start, size))
+
+
+def batch_gaps(missing_h: DataFrame, missing_s: DataFrame, start: int = 0, size: int = 1) -> DataFrame:
     """Missing heights and shards per batch, one row per batch with any."""
-    both = missing_h.select("height", F.lit(None).cast("string").alias("shard_id")).unionByName(
-        missing_s.select("height", F.col("shard_id").cast("string").alias("shard_id"))
-    )
-    return (
-        both.groupBy(batch_start("height", start, size).alias("batch_start"))
-        .agg(
-            F.count_if(F.col("shard_id").isNull()).alias("n_heights"),
-            F.count("shard_id").alias("n_shards"),
-        )
+    h = _batched(missing_h, start, size).select("batch_start", F.lit(None).cast("string").alias("shard_id"))
+    s = _batched(missing_s, start, size).select("batch_start", F.col("shard_id").cast("string").alias("shard_id"))
+    return h.unionByName(s).groupBy("batch_start").agg(
+        F.count_if(F.col("shard_id").isNull()).alias("n_heights"), F.count("shard_id").alias("n_shards")
     )
 
 
-def complete_batches(batches: DataFrame, missing_h: DataFrame, missing_s: DataFrame, start: int, size: int) -> DataFrame:
+def complete_batches(
+    batches: DataFrame, missing_h: DataFrame, missing_s: DataFrame, start: int = 0, size: int = 1
+) -> DataFrame:
     """Batches with nothing missing after a re-scan; only these may replace stored ones."""
     gaps = batch_gaps(missing_h, missing_s, start, size)
     return batches.join(gaps.select("batch_start"), "batch_start", "left_anti")
 
 
-def problem_report(missing_h: DataFrame, missing_s: DataFrame, start: int, size: int) -> DataFrame:
+def problem_report(
+    missing_h: DataFrame, missing_s: DataFrame, start: int = 0, size: int = 1, by: Sequence[str] = HEIGHT
+) -> DataFrame:
     """Everything that is missing, one row per height, with its batch.
 
     ``missing_shard_ids`` is null for an absent height; otherwise it holds the absent ids of
     one block, sorted.
     """
-    ids = missing_s.groupBy("height").agg(
+    ids = missing_s.groupBy(*by).agg(
         F.sort_array(F.collect_set(F.col("shard_id").cast("string"))).alias("missing_shard_ids")
     )
-    absent = missing_h.select("height", F.lit(None).cast("array<string>").alias("missing_shard_ids"))
-    return absent.unionByName(ids).withColumn("batch_start", batch_start("height", start, size))
+    absent = missing_h.select(*by, F.lit(None).cast("array<string>").alias("missing_shard_ids"))
+    return _batched(absent.unionByName(ids), start, size)
 
 
-def layout_check(objects: DataFrame, start: int, size: int) -> DataFrame:
+def layout_check(objects: DataFrame, start: int = 0, size: int = 1) -> DataFrame:
     """Whether the present heights of a batch share one parent folder.
 
     `objects` holds ``parent, height, member, size``. ``verdict`` is ``ok`` or
     ``inconsistent``; ``parent`` is the shared folder, null when there are several.
     """
     present = objects.where((F.col("member") == BLOCK) & is_present("size"))
-    folders = present.groupBy(batch_start("height", start, size).alias("batch_start"), "parent").agg(
-        F.lit(1).alias("n")
-    )
-    per_batch = folders.groupBy("batch_start").agg(
-        F.count("*").alias("folders"), F.min("parent").alias("parent")
-    )
-    return per_batch.select(
-        "batch_start",
-        "folders",
-        F.when(F.col("folders") == 1, F.col("parent")).alias("parent"),
-        F.when(F.col("folders") == 1, "ok").otherwise("inconsistent").alias("verdict"),
+    folders = _batched(present, start, size).select("batch_start", "parent").distinct()
+    one = F.col("folders") == 1
+    return (
+        folders.groupBy("batch_start")
+        .agg(F.count("*").alias("folders"), F.min("parent").alias("_parent"))
+        .select(
+            "batch_start",
+            "folders",
+            F.when(one, F.col("_parent")).alias("parent"),
+            F.when(one, "ok").otherwise("inconsistent").alias("verdict"),
+        )
     )
 
 

@@ -17,6 +17,11 @@ def assign_batch(df: DataFrame, start: int, size: int) -> DataFrame:
     return df.withColumn("batch_start", first).withColumn("batch_end", batch_end("batch_start", size))
 
 
+def batch_heights(batches: DataFrame) -> DataFrame:
+    """Every height of each batch (``batch_start, batch_end``), one row each."""
+    return batches.select("*", F.explode(F.sequence("batch_start", "batch_end")).alias("height"))
+
+
 def scope_filter(archives: DataFrame, start: int, stop: int | None) -> DataFrame:
     """Archives that overlap ``[start, stop]``."""
     return archives.where(in_scope("first", "last", start, stop))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.ranges import assign_batch
 
@@ -24,13 +25,18 @@ def _totals(df: DataFrame) -> dict:
     }
 
 
-def _write(df: DataFrame, path: str, replace: bool, codec: str, level: int | None = None) -> dict:
+def _binned(df: DataFrame, start: int, size: int) -> DataFrame:
+    """Adds the batch by arithmetic unless the rows already say which one they belong to."""
+    return df if set(PARTITION) <= set(df.columns) else assign_batch(df, start, size)
+
+
+def _write(df: DataFrame, path: str, mode: str, codec: str, level: int | None = None) -> dict:
     # Counted in the stage that writes, so what went in is known without a second run.
     seen = Observation()
     rows = df.observe(seen, *(c.alias(name) for name, c in _totals(df).items()))
     writer = (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if replace else "static")
+        rows.write.mode("append" if mode == "append" else "overwrite")
+        .option("partitionOverwriteMode", "dynamic" if mode == "dynamic" else "static")
         .option("compression", codec)
     )
     if level is not None and codec == "zstd":
@@ -40,36 +46,39 @@ def _write(df: DataFrame, path: str, replace: bool, codec: str, level: int | Non
 
 
 def write_batches(
-    df: DataFrame, path: str, start: int, size: int, codec: str = "zstd", level: int | None = None
+    df: DataFrame, path: str, start: int = 0, size: int = 1, codec: str = "zstd", level: int | None = None
 ) -> dict:
     """Compact objects (``height, member, size, …``) into one partition per batch.
 
     Rows are ordered by height and member in each file. A small batch is one file, a hot one
     several. Returns the files, bytes and digest that went in, for :func:`verify_totals`.
     """
-    rows = balanced(assign_batch(df, start, size)).sortWithinPartitions("batch_start", "height", "member")
-    return _write(rows, path, False, codec, level)
+    rows = balanced(_binned(df, start, size)).sortWithinPartitions("batch_start", "height", "member")
+    return _write(rows, path, "static", codec, level)
 
 
 def replace_batches(
-    df: DataFrame, path: str, start: int, size: int, codec: str = "zstd", level: int | None = None
+    df: DataFrame, path: str, start: int = 0, size: int = 1, codec: str = "zstd", level: int | None = None
 ) -> dict:
     """Overwrite only the batches that occur in `df`; the others stay as they are.
 
     `df` must not read from `path`: write repaired rows to a staging path first.
     """
-    rows = balanced(assign_batch(df, start, size)).sortWithinPartitions("batch_start", "height", "member")
-    return _write(rows, path, True, codec, level)
+    rows = balanced(_binned(df, start, size)).sortWithinPartitions("batch_start", "height", "member")
+    return _write(rows, path, "dynamic", codec, level)
+
 
+def write_heights(df: DataFrame, path: str, start: int = 0, size: int = 1, append: bool = False) -> dict:
+    """Keep batches uncompressed, in arrival order, for later work; `append` adds to stored ones."""
+    return _write(balanced(_binned(df, start, size)), path, "append" if append else "static", "none")
 
-def write_heights(df: DataFrame, path: str, start: int, size: int) -> dict:
-    """Keep batches uncompressed, in arrival order, for later work."""
-    return _write(balanced(assign_batch(df, start, size)), path, False, "none")
 
+def read_batches(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Written batches. Filters on ``batch_start`` and ``batch_end`` prune folders.
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """Written batches. Filters on ``batch_start`` and ``batch_end`` prune folders."""
-    rows = spark.read.parquet(path)
+    With a `schema`, a table without any batch yet can be read, too.
+    """
+    rows = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     kept = [c for c in rows.columns if c not in PARTITION]
     return rows.select(*kept, *(F.col(c).cast("bigint").alias(c) for c in PARTITION))
 
@@ -81,6 +90,12 @@ def verify_totals(stored: DataFrame, totals: dict) -> bool:
     return row.asDict() == totals
 
 
+def require_totals(stored: DataFrame, totals: dict, path: str) -> None:
+    """Raise unless :func:`verify_totals` holds."""
+    if not verify_totals(stored, totals):
+        raise RuntimeError(f"{path} does not hold what was written to it")
+
+
 def _fingerprint(df: DataFrame) -> DataFrame:
     return df.groupBy("batch_start").agg(*(c.alias(name) for name, c in _totals(df).items()))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.checks import megabytes, reduction_pct
-from ..functions.keys import batch_dir, block_url, height_key, range_name, redact_url
+from ..functions.keys import batch_dir, block_url, padded, range_name, redact_url
 from ..schemas import EVENTS
 
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -89,7 +89,8 @@ def gap_events(missing: DataFrame, kind: str, base_url: str | None = None, api_k
     """Events of missing heights (``height, batch_start, batch_end``); URLs lose their query."""
     extra = dict(columns)
     extra["batch"] = batch_dir("batch_start", "batch_end")
-    extra["dest_dir"] = F.concat(batch_dir("batch_start", "batch_end"), F.lit("/"), F.rtrim(height_key("height"), F.lit("/")))
+    parent = F.nullif(F.col("parent"), F.lit("")) if "parent" in missing.columns else F.lit(None).cast("string")
+    extra["dest_dir"] = F.concat_ws("/", extra["batch"], parent, padded("height"))
     if base_url:
         extra["fallback_url"] = redact_url(block_url(base_url, "height", api_key))
     return event(missing, kind, **extra)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +11,11 @@ from ..functions.checks import norm_shard_id, valid_payload
 from ..functions.keys import shard_member
 
 
-def _headers(blocks: DataFrame) -> DataFrame:
-    """``height, ids, error`` per block: distinct shard ids, null ids for unreadable ones."""
+def read_headers(blocks: DataFrame, by: Sequence[str] = ("height",)) -> DataFrame:
+    """Distinct shard ids of each block as ``ids``, and ``error`` where the header is unusable."""
     chunks = F.try_variant_get("v", "$.chunks", "variant")
-    parsed = blocks.select("height", F.try_parse_json("payload").alias("v")).select(
-        "height",
+    parsed = blocks.select(*by, F.try_parse_json("payload").alias("v")).select(
+        *by,
         F.coalesce(F.schema_of_variant("v").startswith("OBJECT<"), F.lit(False)).alias("is_object"),
         (chunks.isNull() | F.is_variant_null(chunks)).alias("no_chunks"),
         F.try_variant_get("v", "$.chunks", "array<variant>").alias("chunks"),
@@ -23,8 +25,8 @@ def _headers(blocks: DataFrame) -> DataFrame:
         F.transform("chunks", lambda c: norm_shard_id(F.try_variant_get(c, "$.shard_id", "variant")))
     )
     broken = ~F.col("is_object") | (~F.col("no_chunks") & F.col("chunks").isNull())
-    return parsed.select("height", broken.alias("broken"), ids.alias("ids")).select(
-        "height",
+    return parsed.select(*by, broken.alias("broken"), ids.alias("ids")).select(
+        *by,
         "ids",
         F.when(F.col("broken"), "malformed block header")
         .when(F.exists("ids", lambda i: i.isNull()), "missing or unsupported shard_id")
@@ -32,19 +34,23 @@ def _headers(blocks: DataFrame) -> DataFrame:
     )
 
 
+def shards_of(headers: DataFrame, by: Sequence[str] = ("height",)) -> DataFrame:
+    """Readable shard ids of parsed headers, one row each."""
+    return headers.select(*by, F.explode("ids").alias("shard_id")).where("shard_id is not null")
+
+
 def expected_shards(blocks: DataFrame) -> DataFrame:
     """Shard ids each block refers to, without repeats, as ``height, shard_id``.
 
     `blocks` holds ``height, payload``, one row per block. References that cannot be read
     give no row here and are listed by :func:`block_problems`.
     """
-    ids = _headers(blocks).select("height", F.explode("ids").alias("shard_id"))
-    return ids.where("shard_id is not null")
+    return shards_of(read_headers(blocks))
 
 
 def block_problems(blocks: DataFrame) -> DataFrame:
     """Blocks whose header cannot be read, as ``height, error``."""
-    return _headers(blocks).where("error is not null").select("height", "error")
+    return read_headers(blocks).where("error is not null").select("height", "error")
 
 
 def distinct_shards(expected: DataFrame) -> DataFrame:

@@ -70,15 +70,23 @@ def fallback(spark: SparkSession, d: str) -> DataFrame:
     return shards.unionByName(blocks)
 
 
-def wanted(spark: SparkSession, d: str) -> DataFrame:
-    have = primary(spark, d)
-    return gaps.refetch_set(
-        gaps.missing_heights(domain(spark, d), have), gaps.missing_shards(all_expected(spark, d), have)
-    )
+def stored_primary(spark: SparkSession, d: str) -> DataFrame:
+    """:func:`primary` as a written inventory, as every audit reads it several times."""
+    return materialise(primary(spark, d), "primary")
+
+
+def lost(spark: SparkSession, d: str, have: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Missing heights and missing shards of an inventory."""
+    return gaps.missing_heights(domain(spark, d), have), gaps.missing_shards(all_expected(spark, d), have)
+
+
+def wanted(spark: SparkSession, d: str, have: DataFrame) -> DataFrame:
+    return materialise(gaps.refetch_set(*lost(spark, d, have)), "wanted")
 
 
 def filled(spark: SparkSession, d: str) -> DataFrame:
-    return gaps.fill_gaps(primary(spark, d), fallback(spark, d), materialise(wanted(spark, d), "wanted"))
+    have = stored_primary(spark, d)
+    return gaps.fill_gaps(have, fallback(spark, d), wanted(spark, d, have))
 
 
 # --- sources
@@ -453,12 +461,14 @@ def first_source(spark, d):
 
 @query
 def union_sources(spark, d):
-    return fx.sources(spark, d).select("source", F.col("priority").cast("bigint").alias("priority"), "height", "member", "size")
+    one, two = first_and_second(spark, d)
+    rows = inventory.union_sources([("first", 1, one), ("second", 2, two)])
+    return rows.select("source", F.col("priority").cast("bigint").alias("priority"), "height", "member", "size")
 
 
 @query
 def refetch_set(spark, d):
-    return wanted(spark, d)
+    return gaps.refetch_set(*lost(spark, d, stored_primary(spark, d)))
 
 
 @query
@@ -468,48 +478,35 @@ def fill_gaps(spark, d):
 
 @query
 def fallback_missing(spark, d):
-    return gaps.fallback_missing(wanted(spark, d), fallback(spark, d))
-
-
-def after_fill(spark, d):
-    have = materialise(filled(spark, d), "filled")
-    return (
-        gaps.missing_heights(domain(spark, d), have),
-        gaps.missing_shards(all_expected(spark, d), have),
-    )
+    return gaps.fallback_missing(wanted(spark, d, stored_primary(spark, d)), fallback(spark, d))
 
 
 @query
 def repair_gate(spark, d):
     batches = expected(spark, d, 10).select("batch_start")
-    return gaps.complete_batches(batches, *after_fill(spark, d), START, 10)
+    have = materialise(filled(spark, d), "filled")
+    return gaps.complete_batches(batches, *lost(spark, d, have), START, 10)
 
 
 @query
 def problem_report(spark, d):
-    have = primary(spark, d)
-    report = gaps.problem_report(
-        gaps.missing_heights(domain(spark, d), have), gaps.missing_shards(all_expected(spark, d), have), START, RANGE
-    )
+    report = gaps.problem_report(*lost(spark, d, stored_primary(spark, d)), START, RANGE)
     return report.select("batch_start", "height", F.array_join("missing_shard_ids", ",").alias("missing_shards"))
 
 
 @query
 def problem_counts(spark, d):
-    have = primary(spark, d)
-    return gaps.batch_gaps(
-        gaps.missing_heights(domain(spark, d), have), gaps.missing_shards(all_expected(spark, d), have), START, RANGE
-    )
+    return gaps.batch_gaps(*lost(spark, d, stored_primary(spark, d)), START, RANGE)
 
 
 @query
 def fill_totals(spark, d):
-    lost = ranges.assign_batch(materialise(wanted(spark, d), "wanted"), START, SIZE)
-    absent = ranges.assign_batch(gaps.fallback_missing(lost, fallback(spark, d)), START, SIZE)
-    got = inventory.read_heights(lost, fallback(spark, d))
+    found = ranges.assign_batch(wanted(spark, d, stored_primary(spark, d)), START, SIZE)
+    absent = ranges.assign_batch(gaps.fallback_missing(found, fallback(spark, d)), START, SIZE)
+    got = inventory.read_heights(found, fallback(spark, d))
     events = records.audit_events(
         [
-            records.gap_events(lost, "gap_found"),
+            records.gap_events(found, "gap_found"),
             records.gap_events(got, "gap_filled"),
             records.gap_events(absent, "fallback_not_found"),
         ]

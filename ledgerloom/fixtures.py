@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.keys import height_key, shard_member
-from .sources.inventory import union_sources
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,15 +37,14 @@ def shard_objects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sources(spark: SparkSession, folder: str) -> DataFrame:
-    """The two ordered sources without the fallback."""
-    rows = shard_objects(spark, folder)
-    one, two = (rows.where(F.col("priority") == p).drop("priority") for p in (1, 2))
-    return union_sources([("first", 1, one), ("second", 2, two)])
+    """The two ordered sources without the fallback, read in one scan."""
+    rows = shard_objects(spark, folder).where(F.col("priority") <= 2)
+    return rows.select(F.when(F.col("priority") == 1, "first").otherwise("second").alias("source"), "*")
 
 
 def fallback(spark: SparkSession, folder: str) -> DataFrame:
-    rows = shard_objects(spark, folder)
-    return union_sources([("fallback", 3, rows.where(F.col("priority") == 3).drop("priority"))])
+    rows = shard_objects(spark, folder).where(F.col("priority") == 3)
+    return rows.select(F.lit("fallback").alias("source"), "*")
 
 
 def block_objects(spark: SparkSession, folder: str) -> DataFrame:

@@ -80,7 +80,9 @@ def archive_job(
         pending_work(spark, stored, start_from, stop_at, size, control, prefix, codec), "pending"
     )
     heights = ranges.batch_heights(pending.drop("key"))
-    binned = ranges.assign_batch(objects, start_from, size)
+    # The outer bounds reach the scan as a range filter, the exact batches as a join.
+    low, high = inventory.height_bounds(pending.select(F.explode(F.array("batch_start", "batch_end")).alias("height")))
+    binned = ranges.assign_batch(objects.where(F.col("height").between(low, high)), start_from, size)
     listed = binned.join(broadcast_within(pending.select("batch_start")), "batch_start", "left_semi")
     unlisted = materialise(heights.join(listed.select("height").distinct(), "height", "left_anti"), "unlisted")
     empty = gaps.fallback_missing(unlisted, fallback, BY) if fallback is not None else unlisted
@@ -357,7 +359,8 @@ def validate_job(
     if stop_at <= 0 or start_from > stop_at or size <= 0:
         raise ValueError("validation needs 0 < stop_at, start_from <= stop_at and size > 0")
     spark = stored.sparkSession
-    archives = parse_archives(stored, prefix)
+    # The inventory is read once; all checks work on its few archive rows.
+    archives = materialise(parse_archives(stored, prefix).select("key", "first", "last"), "archives")
     expected = inventory.expected_batches(spark, start_from, stop_at, size)
     missing = ranges.missing_ranges(expected, ranges.first_archive(archives))
     uneven = ranges.coverage(archives, start_from, stop_at)

@@ -40,6 +40,8 @@ def local_session(cores: int | str = 8, app: str = "ledgerloom", shared: str | N
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.showConsoleProgress", "false")
+        # Local data is tiny; without this, AQE would put all of it into one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in SQL_CONF.items():
         builder = builder.config(key, value)

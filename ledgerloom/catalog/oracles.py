@@ -333,6 +333,9 @@ ORACLES = {
                count(*) filter (height in (select height from fx_fallback)) as filled,
                count(*) filter (height not in (select height from fx_fallback)) as failed
         from fx_no_block group by 1""",
+    "import_job": """
+        select doc_id // 100 * 100 as batch_start, count(*) as files, cast(sum(strlen(text)) as bigint) as bytes
+        from documents group by 1""",
     "audit_repair_job": """
         with arch as (select first, last, min(key) as key from fx_parsed where last >= 0 group by 1, 2),
         want as (select first, last, unnest(generate_series(first, last)) as height from arch),

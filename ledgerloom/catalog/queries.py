@@ -11,7 +11,7 @@ from .. import fixtures as fx
 from ..functions import checks, keys
 from ..operators import copying, gaps, ranges, stats
 from ..plans import jobs
-from ..schemas import CONTROL
+from ..schemas import BATCH_STATS, CONTROL
 from ..session import configure, materialise, scratch_path
 from ..sinks import archives as tar_sink
 from ..sinks import batches as sink
@@ -242,7 +242,7 @@ def append_stats(spark, d):
     path = scratch_path(spark, "stats")
     lines = records.batch_stats_rows(stats.batch_stats(large_blocks(spark, d), START, SIZE))
     records.append_stats(lines, path)
-    return spark.read.schema("batch string, uncompressed_mb bigint, dirs bigint").json(path)
+    return spark.read.schema(BATCH_STATS).json(path).select("batch", "uncompressed_mb", "dirs")
 
 
 @query
@@ -783,6 +783,17 @@ def fix_gaps_job(spark, d):
     )
 
 
+@query
+def import_job(spark, d):
+    folder = scratch_path(spark, "import")
+    texts = fx.table(spark, d, "documents").select(
+        F.col("doc_id").alias("height"), F.lit("block.json").alias("member"), F.col("text").alias("payload")
+    )
+    tar_sink.pack_archives(texts, folder, START, RANGE)
+    jobs.import_job(spark, folder, f"{folder}-table", prefix=None)
+    return per_batch(sink.read_batches(spark, f"{folder}-table"))
+
+
 def with_headers(spark, d, rows):
     """Adds the JSON header to the non-empty blocks among `rows`."""
     payload = fx.block_payloads(spark, d).select(

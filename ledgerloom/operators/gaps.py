@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions.checks import batch_start, is_present, whole_div
 from ..functions.keys import shard_member
+from ..session import materialise
 from .common import broadcast_within, slice_width
 
 BLOCK = "block.json"
@@ -57,7 +58,8 @@ def first_source(objects: DataFrame, check_overlap: bool = False) -> DataFrame:
     listed = objects.select("height", "priority").distinct()
     best = listed.groupBy("height").agg(F.min("priority").alias("_best"))
     losing = listed.join(best, "height").where("priority > _best").select("height", "priority")
-    return objects.join(broadcast_within(losing), ["height", "priority"], "left_anti")
+    losing = broadcast_within(materialise(losing, "losing"))
+    return objects.join(losing, ["height", "priority"], "left_anti")
 
 
 def refetch_set(missing_h: DataFrame, missing_s: DataFrame, by: Sequence[str] = HEIGHT) -> DataFrame:

@@ -7,17 +7,19 @@ where bytes are really rewritten.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.checks import safe_boundary
-from ..functions.keys import parse_archives, range_name
+from ..functions.keys import parse_archives, path_parts, range_name
 from ..operators import copying, gaps, ranges, stats
 from ..operators.common import broadcast_within
 from ..session import materialise, scratch_path
 from ..sinks import batches as sink
 from ..sinks import records
-from ..sources import inventory, payloads
+from ..sources import inventory, payloads, tar
 
 BY = ("batch_start", "batch_end", "height")
 
@@ -103,13 +105,16 @@ def archive_job(
         # Unlisted heights have no rows of their own, so nothing needs replacing.
         fetched = fallback.join(unlisted.select("height"), "height", "left_semi")
         rows = rows.unionByName(ranges.assign_batch(fetched, start_from, size).select(*rows.columns))
-    totals = sink.replace_batches(rows, out, codec="gzip" if codec == "gzip" else "zstd")
+    began = time.monotonic()
+    totals = sink.replace_batches(rows, out, codec=codec)
+    run_sec = time.monotonic() - began
     back = sink.read_batches(spark, out, rows.schema)
     stored_rows = back.join(broadcast_within(pending.select("batch_start")), "batch_start", "left_semi")
     sink.require_totals(stored_rows, totals, out)
     done = materialise(stats.batch_stats(stored_rows, start_from, size), "stats")
-    if stats_path:
-        records.append_stats(records.batch_stats_rows(done), stats_path)
+    if stats_path and totals["files"]:  # empty batches have no statistics line
+        packed = done.join(sink.stored_sizes(spark, out), "batch_start", "left")
+        records.append_stats(records.batch_stats_rows(packed, "stored_bytes", run_sec), stats_path)
     if control_path:
         records.save_progress(pending, control_path)
     status = F.when(F.col("files") > 0, "archived").otherwise("empty")
@@ -159,10 +164,12 @@ def stage_job(
         return per_batch
     # `local` may be the staging table itself: take its state before anything is appended.
     done = materialise(per_batch, "staged")
+    began = time.monotonic()
     sink.write_heights(copying.to_fetch(chosen, local), out, start_from, size, append=True)
     if stats_path:
         lines = done.withColumn("bytes", F.col("bytes_fetched") + F.col("bytes_skipped"))
-        records.append_stats(records.download_stats_rows(lines, out), stats_path)
+        run_sec = time.monotonic() - began
+        records.append_stats(records.download_stats_rows(lines, out, run_sec), stats_path)
     return done
 
 
@@ -213,6 +220,44 @@ def fix_gaps_job(
     return gaps.fill_totals(events)
 
 
+def import_job(spark: SparkSession, folder: str, out: str, prefix: str | None = "archives") -> DataFrame:
+    """Bring existing tar archives below `folder` into a batch table for the audit.
+
+    Archives count if they lie in the subfolder `prefix`; of several with one range the first
+    key is taken. With a `prefix` of None, archives anywhere count, and those of one range are
+    parts of it, as :func:`pack_archives` writes them. Members become rows of `out` with ``batch_start, batch_end, parent, height, member, size,
+    payload``. Returns the archives that could not be read, as ``batch_start, error``.
+    """
+    base = folder.rstrip("/") + "/"
+    paths = tar.archive_paths(spark, folder)
+    listed = paths.withColumn("key", F.substring_index("path", base, -1))
+    found = parse_archives(listed, prefix or "", exact_prefix=prefix is not None)
+    if prefix is not None:
+        found = found.groupBy("first", "last").agg(F.min_by("path", "key").alias("path"))
+    found = found.select(
+        F.col("path").alias("archive"), F.col("first").alias("batch_start"), F.col("last").alias("batch_end")
+    )
+    found = materialise(found, "found")
+    members = materialise(tar.expand_archives(found.select(F.col("archive").alias("path"))), "members")
+    ranged = tar.readable_members(members).join(broadcast_within(found), "archive")
+    rows = ranged.withColumn("_p", path_parts("member")).select(
+        "batch_start",
+        "batch_end",
+        F.col("_p.parent").alias("parent"),
+        F.col("_p.height").alias("height"),
+        F.col("_p.member").alias("member"),
+        "size",
+        F.col("payload").cast("string").alias("payload"),
+    )
+    rows = rows.where("height is not null")
+    totals = sink.replace_batches(rows, out)
+    keys = broadcast_within(found.select("batch_start").distinct())
+    back = sink.read_batches(spark, out, rows.schema).join(keys, "batch_start", "left_semi")
+    sink.require_totals(back, totals, out)
+    failed = members.where("error is not null").join(found, "archive")
+    return materialise(failed.select("batch_start", "error"), "failed")
+
+
 def audit_repair_job(
     stored: DataFrame,
     objects: DataFrame,

@@ -43,15 +43,15 @@ MEMBERS = T.StructType(
 
 CONTROL = T.StructType([T.StructField("last_processed_number", T.LongType())])
 
+# Statistics lines. Batches of one run are written together, so the time is that of the run.
 BATCH_STATS = T.StructType(
     [
         T.StructField("batch", T.StringType()),
         T.StructField("uncompressed_mb", T.LongType()),
         T.StructField("compressed_mb", T.LongType()),
         T.StructField("reduction_pct", T.DoubleType()),
-        T.StructField("download_sec", T.DoubleType()),
-        T.StructField("compress_sec", T.DoubleType()),
-        T.StructField("upload_sec", T.DoubleType()),
+        T.StructField("dirs", T.LongType()),
+        T.StructField("run_sec", T.DoubleType()),
     ]
 )
 
@@ -61,8 +61,8 @@ DOWNLOAD_STATS = T.StructType(
         T.StructField("batch", T.StringType()),
         T.StructField("local_dir", T.StringType()),
         T.StructField("uncompressed_mb", T.LongType()),
-        T.StructField("download_sec", T.DoubleType()),
         T.StructField("dirs_downloaded", T.LongType()),
+        T.StructField("run_sec", T.DoubleType()),
     ]
 )
 

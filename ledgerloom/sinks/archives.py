@@ -93,7 +93,7 @@ def pack_archives(
         F.concat(height_key("height"), F.col("member")).alias("name"),
         F.col("payload").cast("binary").alias("payload"),
     )
-    ordered = balanced(rows).sortWithinPartitions("batch_start", "height", "member")
+    ordered = balanced(rows).sortWithinPartitions("batch_start", "batch_end", "height", "member")
     packed = ordered.mapInArrow(lambda it: _pack(it, folder, codec, level), MANIFEST)
     packed.write.mode("error").parquet(f"{folder}/_manifest")
     return df.sparkSession.read.parquet(f"{folder}/_manifest")

@@ -16,6 +16,15 @@ def balanced(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "batch_start")
 
 
+def stored_order(df: DataFrame) -> DataFrame:
+    """Blocks by height, then all other members by height and name, batch after batch.
+
+    With the blocks in pages of their own, a scan for headers skips the payload of the shards.
+    """
+    rest = F.col("member") != "block.json"
+    return df.sortWithinPartitions(*PARTITION, rest, "height", "member")
+
+
 def _totals(df: DataFrame) -> dict:
     columns = sorted(c for c in df.columns if c not in PARTITION)
     return {
@@ -50,11 +59,9 @@ def write_batches(
 ) -> dict:
     """Compact objects (``height, member, size, …``) into one partition per batch.
 
-    Rows are ordered by height and member in each file. A small batch is one file, a hot one
-    several. Returns the files, bytes and digest that went in, for :func:`verify_totals`.
+    Each file is in :func:`stored_order`. A small batch is one file, a hot one several. Returns the files, bytes and digest that went in, for :func:`verify_totals`.
     """
-    rows = balanced(_binned(df, start, size)).sortWithinPartitions("batch_start", "height", "member")
-    return _write(rows, path, "static", codec, level)
+    return _write(stored_order(balanced(_binned(df, start, size))), path, "static", codec, level)
 
 
 def replace_batches(
@@ -64,8 +71,7 @@ def replace_batches(
 
     `df` must not read from `path`: write repaired rows to a staging path first.
     """
-    rows = balanced(_binned(df, start, size)).sortWithinPartitions("batch_start", "height", "member")
-    return _write(rows, path, "dynamic", codec, level)
+    return _write(stored_order(balanced(_binned(df, start, size))), path, "dynamic", codec, level)
 
 
 def write_heights(df: DataFrame, path: str, start: int = 0, size: int = 1, append: bool = False) -> dict:
@@ -83,6 +89,14 @@ def read_batches(spark: SparkSession, path: str, schema: StructType | None = Non
     return rows.select(*kept, *(F.col(c).cast("bigint").alias(c) for c in PARTITION))
 
 
+def stored_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """Bytes on disk per written batch, from the file listing alone."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.groupBy(F.col("batch_start").cast("bigint").alias("batch_start")).agg(
+        F.sum("length").alias("stored_bytes")
+    )
+
+
 def verify_totals(stored: DataFrame, totals: dict) -> bool:
     """Whether stored rows, read back whole, hold the files, bytes and digest that went in."""
     back = stored.drop(*PARTITION)

@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.checks import megabytes, reduction_pct
 from ..functions.keys import batch_dir, block_url, padded, range_name, redact_url
-from ..schemas import EVENTS
+from ..schemas import BATCH_STATS, DOWNLOAD_STATS, EVENTS
 
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -27,27 +28,45 @@ KINDS = [
 ]
 
 
-def batch_stats_rows(stats: DataFrame, compressed: str | None = None) -> DataFrame:
-    """Statistics lines of archived batches out of ``batch_start, batch_end, dirs, bytes``."""
-    packed = F.col(compressed) if compressed else F.lit(None).cast("bigint")
-    return stats.select(
-        range_name("batch_start", "batch_end").alias("batch"),
-        megabytes("bytes").alias("uncompressed_mb"),
-        megabytes(packed).alias("compressed_mb"),
-        reduction_pct("bytes", packed).alias("reduction_pct") if compressed else F.lit(None).cast("double").alias("reduction_pct"),
-        F.col("dirs"),
-    )
+def _as(df: DataFrame, schema: StructType, **columns: Column) -> DataFrame:
+    """`df` in a fixed schema, with `columns` computed and absent fields null."""
+
+    def field(f: StructField) -> Column:
+        if f.name in columns:
+            return columns[f.name].cast(f.dataType).alias(f.name)
+        return (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+
+    return df.select(*(field(f) for f in schema))
+
 
+def batch_stats_rows(stats: DataFrame, stored: str | None = None, run_sec: float | None = None) -> DataFrame:
+    """Statistics lines of archived batches out of ``batch_start, batch_end, dirs, bytes``.
 
-def download_stats_rows(stats: DataFrame, root: str) -> DataFrame:
+    `stored` names the column with the bytes on disk, if known.
+    """
+    columns = {
+        "batch": range_name("batch_start", "batch_end"),
+        "uncompressed_mb": megabytes("bytes"),
+        "run_sec": F.lit(run_sec),
+    }
+    if stored:
+        columns["compressed_mb"] = megabytes(stored)
+        columns["reduction_pct"] = reduction_pct("bytes", stored)
+    return _as(stats, BATCH_STATS, **columns)
+
+
+def download_stats_rows(stats: DataFrame, root: str, run_sec: float | None = None) -> DataFrame:
     """Statistics lines of staged batches."""
     folder = F.concat(F.lit(root.rstrip("/") + "/"), batch_dir("batch_start", "batch_end"))
-    return stats.select(
-        F.lit("download_batch").alias("kind"),
-        range_name("batch_start", "batch_end").alias("batch"),
-        folder.alias("local_dir"),
-        megabytes("bytes").alias("uncompressed_mb"),
-        F.col("dirs").alias("dirs_downloaded"),
+    return _as(
+        stats,
+        DOWNLOAD_STATS,
+        kind=F.lit("download_batch"),
+        batch=range_name("batch_start", "batch_end"),
+        local_dir=folder,
+        uncompressed_mb=megabytes("bytes"),
+        dirs_downloaded=F.col("dirs"),
+        run_sec=F.lit(run_sec),
     )
 
 
@@ -75,14 +94,7 @@ def event(df: DataFrame, kind: str, **columns: Column) -> DataFrame:
 
 def audit_events(parts: list[DataFrame]) -> DataFrame:
     """Events of several kinds in one schema."""
-    fields = EVENTS.fields
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return merged.select(
-        *(
-            (F.col(f.name) if f.name in merged.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in fields
-        )
-    )
+    return _as(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), EVENTS)
 
 
 def gap_events(missing: DataFrame, kind: str, base_url: str | None = None, api_key: str = "", **columns: Column) -> DataFrame:

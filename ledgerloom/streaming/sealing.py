@@ -116,7 +116,7 @@ def write_sealed(stream: DataFrame, path: str, checkpoint: str, start: int, size
         # read (dynamic partition pruning).
         table = spark.read.parquet(landing).where(F.col("epoch") <= epoch)
         ready = table.join(broadcast_within(sealed), "batch_start", "left_semi").drop("epoch")
-        ordered = balanced(ready).sortWithinPartitions("batch_start", "height")
+        ordered = balanced(ready).sortWithinPartitions("batch_start", "batch_end", "height")
         _replace(ordered, f"{path}/batches", "batch_start", "batch_end")
 
     spark = stream.sparkSession

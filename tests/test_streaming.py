@@ -27,9 +27,9 @@ def test_a_batch_is_sealed_once_the_head_is_far_enough(spark):
         schema = "batch_start bigint, batch_end bigint, dirs bigint"
         return rows(spark.read.schema(schema).parquet(f"{folder}/out"))
 
-    land(spark, f"{folder}/in", range(0, 2100))
+    land(spark, f"{folder}/in", range(0, 2101))
     assert run() == [(0, 999, 1000), (1000, 1999, 1000)]
-    land(spark, f"{folder}/in", range(2100, 3100))  # 3099: the third batch stays open
+    land(spark, f"{folder}/in", range(2101, 3100))  # 3099: the third batch stays open
     assert run() == [(0, 999, 1000), (1000, 1999, 1000)]
     land(spark, f"{folder}/in", [3100, *range(500, 520)])  # 3100 seals it; 500.. is late
     assert run() == [(0, 999, 1000), (1000, 1999, 1000), (2000, 2999, 1000)]

@@ -381,6 +381,7 @@ ORACLES = {
                count(*) filter (verdict = 'missing') as missing,
                count(*) filter (verdict = 'size_mismatch') as size_mismatch,
                count(*) filter (verdict = 'md5_mismatch') as md5_mismatch from v""",
+    "copy_objects": "select distinct doc_id // 100 * 100 as batch_start, true as ok from documents",
     "exists_job": """
         select concat('archives/', first, '-', last, '.tar.zst') as key,
                case when concat('archives/', first, '-', last, '.tar.zst') in (select key from fx_archive)

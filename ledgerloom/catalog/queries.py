@@ -15,7 +15,7 @@ from ..schemas import BATCH_STATS, CONTROL
 from ..session import configure, materialise, scratch_path
 from ..sinks import archives as tar_sink
 from ..sinks import batches as sink
-from ..sinks import records
+from ..sinks import records, transfer
 from ..sources import inventory, payloads, tar
 from ..streaming import sealing
 
@@ -154,13 +154,18 @@ def batch_dir(spark, d):
     return expected(spark, d).select("batch_start", "batch_end", keys.batch_dir("batch_start", "batch_end").alias("name"))
 
 
-@query
-def expand_archives(spark, d):
-    folder = scratch_path(spark, "tar")
+def packed(spark, d, folder, codec="zstd"):
+    """Whole documents as blocks, packed into tar archives."""
     texts = fx.table(spark, d, "documents").select(
         F.col("doc_id").alias("height"), F.lit("block.json").alias("member"), F.col("text").alias("payload")
     )
-    manifest = tar_sink.pack_archives(texts, folder, START, RANGE, codec="zstd")
+    return tar_sink.pack_archives(texts, folder, START, RANGE, codec)
+
+
+@query
+def expand_archives(spark, d):
+    folder = scratch_path(spark, "tar")
+    manifest = packed(spark, d, folder)
     members = scratch_path(spark, "members")
     tar.expand_archives(manifest).write.parquet(members)
     return tar.readable_members(spark.read.parquet(members)).select("member", "size", F.md5("payload").alias("md5"))
@@ -168,10 +173,7 @@ def expand_archives(spark, d):
 
 @query
 def pack_archives(spark, d):
-    texts = fx.table(spark, d, "documents").select(
-        F.col("doc_id").alias("height"), F.lit("block.json").alias("member"), F.col("text").alias("payload")
-    )
-    manifest = tar_sink.pack_archives(texts, scratch_path(spark, "tar"), START, RANGE, codec="gzip")
+    manifest = packed(spark, d, scratch_path(spark, "tar"), "gzip")
     return manifest.groupBy("batch_start", "batch_end").agg(
         F.sum("members").alias("members"), F.sum("bytes").alias("bytes")
     )
@@ -786,10 +788,7 @@ def fix_gaps_job(spark, d):
 @query
 def import_job(spark, d):
     folder = scratch_path(spark, "import")
-    texts = fx.table(spark, d, "documents").select(
-        F.col("doc_id").alias("height"), F.lit("block.json").alias("member"), F.col("text").alias("payload")
-    )
-    tar_sink.pack_archives(texts, folder, START, RANGE)
+    packed(spark, d, folder)
     jobs.import_job(spark, folder, f"{folder}-table", prefix=None)
     return per_batch(sink.read_batches(spark, f"{folder}-table"))
 
@@ -839,6 +838,19 @@ def copy_job(spark, d):
     )
 
 
+@query
+def copy_objects(spark, d):
+    folder = scratch_path(spark, "copy")
+    packed(spark, d, f"{folder}/in")
+    listed = inventory.scan_inventory(spark, f"{folder}/in", "task-", "binaryFile")
+    listed = listed.select("key", "size", F.lit(None).cast("string").alias("etag"))
+    named = keys.parse_archives(listed, exact_prefix=False)
+    plan = named.withColumn("dest_key", F.concat(F.lit("copied/"), "key"))
+    sent = transfer.copy_objects(plan, f"{folder}/in", f"{folder}/out")
+    first = F.regexp_extract("key", r"([0-9]+)-[0-9]+\.tar", 1).cast("bigint")
+    return sent.groupBy(first.alias("batch_start")).agg(F.bool_and(F.col("verdict") == "ok").alias("ok"))
+
+
 @query
 def exists_job(spark, d):
     names = expected(spark, d).select(keys.archive_key("batch_start", "batch_end").alias("key"))

@@ -57,10 +57,15 @@ def norm_shard_id(value: Column) -> Column:
     )
 
 
+def filled_object(value: ColumnLike) -> Column:
+    """A VARIANT holds an object with at least one key."""
+    kind = F.schema_of_variant(col(value))
+    return F.coalesce(kind.startswith("OBJECT<") & (kind != "OBJECT<>"), F.lit(False))
+
+
 def valid_payload(text: ColumnLike) -> Column:
     """Payload is a JSON object with at least one key."""
-    kind = F.schema_of_variant(F.try_parse_json(col(text)))
-    return F.coalesce(kind.startswith("OBJECT<") & (kind != "OBJECT<>"), F.lit(False))
+    return filled_object(F.try_parse_json(col(text)))
 
 
 def classify_status(status: ColumnLike, store: bool) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,12 @@ def rel_key(key: ColumnLike, prefix: str) -> Column:
     return F.when(key == base, "").otherwise(F.regexp_replace(cut, "^/", ""))
 
 
+def below(path: ColumnLike, root: str) -> Column:
+    """Part of a listed file path below the folder `root`."""
+    folder = re.sub(r"^file:/+", "/", root).rstrip("/") + "/"
+    return F.substring_index(col(path), folder, -1)
+
+
 def dest_key(key: ColumnLike, source_prefix: str, dest_prefix: str) -> Column:
     """Destination key of a copied object."""
     key = col(key)

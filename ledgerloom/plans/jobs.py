@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.checks import safe_boundary
-from ..functions.keys import parse_archives, path_parts, range_name
+from ..functions.keys import below, parse_archives, path_parts, range_name
 from ..operators import copying, gaps, ranges, stats
 from ..operators.common import broadcast_within
 from ..session import materialise, scratch_path
 from ..sinks import batches as sink
-from ..sinks import records
+from ..sinks import records, transfer
 from ..sources import inventory, payloads, tar
 
 BY = ("batch_start", "batch_end", "height")
@@ -228,9 +228,7 @@ def import_job(spark: SparkSession, folder: str, out: str, prefix: str | None =
     parts of it, as :func:`pack_archives` writes them. Members become rows of `out` with ``batch_start, batch_end, parent, height, member, size,
     payload``. Returns the archives that could not be read, as ``batch_start, error``.
     """
-    base = folder.rstrip("/") + "/"
-    paths = tar.archive_paths(spark, folder)
-    listed = paths.withColumn("key", F.substring_index("path", base, -1))
+    listed = tar.archive_paths(spark, folder).withColumn("key", below("path", folder))
     found = parse_archives(listed, prefix or "", exact_prefix=prefix is not None)
     if prefix is not None:
         found = found.groupBy("first", "last").agg(F.min_by("path", "key").alias("path"))
@@ -440,12 +438,21 @@ def copy_job(
     overwrite: bool = False,
     copy_all_under_prefix: bool = False,
     after: DataFrame | None = None,
+    roots: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Counters of a copy and, against the destination `after` it, how many keys arrived intact.
 
-    The keys themselves come from :func:`copying.copy_plan`, their order from
-    :func:`copying.copy_schedule`.
+    With `roots`, the folders the source and destination keys lie in, the planned objects are
+    copied, and the destination is listed afterwards. The keys themselves come from
+    :func:`copying.copy_plan`, their order under a cap from :func:`copying.copy_schedule`.
     """
+    if roots:
+        plan = copying.copy_plan(source, dest, source_prefix, dest_prefix, overwrite, copy_all_under_prefix)
+        dest = materialise(dest, "dest")  # its state before the copy
+        sent = materialise(transfer.copy_objects(plan, *roots), "sent")
+        arrived = sent.where("verdict = 'ok'").select(F.col("dest_key").alias("key"), "size", F.col("md5").alias("etag"))
+        kept = dest.join(arrived.select("key"), "key", "left_anti").select("key", "size", "etag")
+        after = kept.unionByName(arrived)
     counters = copying.copy_counters(source, dest, source_prefix, dest_prefix, overwrite, copy_all_under_prefix)
     whole = copying.copy_plan(source, dest, source_prefix, dest_prefix, True, copy_all_under_prefix)
     verdicts = copying.reconcile(whole, dest if after is None else after)

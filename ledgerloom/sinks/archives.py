@@ -12,9 +12,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..files import filesystem, qualified
 from ..functions.keys import archive_key, height_key
 from ..operators.ranges import assign_batch
-from ..sources.tar import filesystem
 from .batches import balanced
 
 MANIFEST = "path string, batch_start bigint, batch_end bigint, members bigint, bytes bigint"
@@ -94,6 +94,7 @@ def pack_archives(
         F.col("payload").cast("binary").alias("payload"),
     )
     ordered = balanced(rows).sortWithinPartitions("batch_start", "batch_end", "height", "member")
-    packed = ordered.mapInArrow(lambda it: _pack(it, folder, codec, level), MANIFEST)
+    root = qualified(df.sparkSession, folder)
+    packed = ordered.mapInArrow(lambda it: _pack(it, root, codec, level), MANIFEST)
     packed.write.mode("error").parquet(f"{folder}/_manifest")
     return df.sparkSession.read.parquet(f"{folder}/_manifest")

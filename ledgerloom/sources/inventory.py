@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.checks import batch_end
-from ..functions.keys import PAD_WIDTH, parse_batch_dirs, path_parts
+from ..functions.keys import PAD_WIDTH, below, parse_batch_dirs, path_parts
 
 
 def scan_inventory(spark: SparkSession, path: str, prefix: str | None = None, format: str = "parquet") -> DataFrame:
@@ -20,10 +20,7 @@ def scan_inventory(spark: SparkSession, path: str, prefix: str | None = None, fo
     """
     if format == "binaryFile":
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        root = path.rstrip("/")
-        rows = files.select(
-            F.substring_index(F.col("path"), f"{root}/", -1).alias("key"), F.col("length").alias("size")
-        )
+        rows = files.select(below("path", path).alias("key"), F.col("length").alias("size"))
     elif format in ("csv", "json"):
         rows = spark.read.format(format).schema("key string, size bigint").load(path)
     else:

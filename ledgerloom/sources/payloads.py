@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.checks import norm_shard_id, valid_payload
+from ..functions.checks import filled_object, norm_shard_id
 from ..functions.keys import shard_member
 
 
@@ -70,13 +70,15 @@ def _envelope_members(envelopes: DataFrame) -> DataFrame:
             lambda s: F.struct(F.lit(False).alias("is_block"), s.alias("payload")),
         ),
     )
-    rows = parsed.select("height", F.explode(parts).alias("_p")).select("height", "_p.is_block", "_p.payload")
-    shard_id = norm_shard_id(F.try_variant_get(F.try_parse_json("payload"), "$.shard_id", "variant"))
+    rows = parsed.select("height", F.explode(parts).alias("_p")).select(
+        "height", "_p.is_block", "_p.payload", F.try_parse_json("_p.payload").alias("_v")
+    )
+    shard_id = norm_shard_id(F.try_variant_get("_v", "$.shard_id", "variant"))
     return rows.select(
         "height",
         F.when(F.col("is_block"), "block.json").otherwise(shard_member(shard_id)).alias("member"),
         "payload",
-        F.when(F.col("is_block") & ~valid_payload("payload"), "block is not a filled JSON object")
+        F.when(F.col("is_block") & ~filled_object("_v"), "block is not a filled JSON object")
         .when(~F.col("is_block") & shard_id.isNull(), "missing or unsupported shard_id")
         .alias("error"),
     )

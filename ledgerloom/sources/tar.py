@@ -8,10 +8,10 @@ import tarfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs  # noqa: F401  (makes pa.fs available)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..files import filesystem
 from ..operators.common import broadcast_within
 from ..schemas import MEMBERS
 
@@ -21,13 +21,6 @@ _FLUSH_BYTES = 8 << 20
 _FLUSH_ROWS = 4096
 
 
-def filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
-    """File system of a path or URI, and the path on it."""
-    if "://" in path and not path.startswith("file:"):
-        return pa.fs.FileSystem.from_uri(path)
-    return pa.fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-
-
 def open_archive(path: str):
     """Byte stream of an archive, decompressed on the fly, on any file system pyarrow knows."""
     fs, location = filesystem(path)

@@ -5,10 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import ranges
 from ledgerloom.plans import jobs
 from ledgerloom.session import scratch_path
+from ledgerloom.sinks import archives as tar_sink
 from ledgerloom.sinks import batches as sink
+from ledgerloom.sinks import transfer
 from ledgerloom.sources import inventory
 
 OBJECTS = "source string, priority int, height bigint, member string, size bigint, payload string"
@@ -227,3 +228,57 @@ def test_copy_exists_and_purge(spark):
         ("in/x", "FOUND"), ("no", "MISSING"),
     ]
     assert rows(jobs.purge_plan_job(source, "in/", 1), "objects") == [(1,), (1,)]
+
+
+def test_copying_objects(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "in").mkdir()
+    content = {"0-9.tar.gz": b"abc", "10-19.tar.gz": b"x" * 10_000_000, "20-29.tar.gz": b"", "30-39.tar.gz": b"abc"}
+    for name, data in content.items():
+        (tmp_path / "in" / name).write_bytes(data)
+    md5 = {k: hashlib.md5(v).hexdigest() for k, v in content.items()}
+    listed = [(f"in/{k}", len(v), f'"{md5[k]}"') for k, v in content.items()]
+    listed[0] = (listed[0][0], 4, None)  # the listing names another size
+    listed[3] = (listed[3][0], 3, "0" * 32)  # and another digest
+    listed.append(("in/40-49.tar.gz", 1, None))  # gone since it was listed
+    source = spark.createDataFrame(listed, "key string, size bigint, etag string")
+    dest = source.where("false")
+    row = jobs.copy_job(
+        source, dest, source_prefix="in", dest_prefix="out", roots=(str(tmp_path), str(tmp_path / "dest"))
+    ).first()
+    assert (row.copied, row.ok, row.missing) == (5, 2, 3)
+    for name in ("10-19.tar.gz", "20-29.tar.gz"):
+        assert (tmp_path / "dest" / "out" / name).read_bytes() == content[name]
+    plan = source.withColumn("dest_key", F.col("key"))
+    sent = transfer.copy_objects(plan, str(tmp_path), str(tmp_path / "again"), tasks=2)
+    assert rows(sent, "key", "verdict") == [
+        ("in/0-9.tar.gz", "size_mismatch"), ("in/10-19.tar.gz", "ok"), ("in/20-29.tar.gz", "ok"),
+        ("in/30-39.tar.gz", "md5_mismatch"), ("in/40-49.tar.gz", "error"),
+    ]
+
+
+def test_import_then_audit(spark, tmp_path):
+    members = spark.createDataFrame(
+        [(h, m, header(0) if m == "block.json" else "{}") for h in range(20) for m in ("block.json", "shard_0.json")
+         if (h, m) not in {(3, "block.json"), (14, "shard_0.json")}],
+        "height bigint, member string, payload string",
+    )
+    staged = tar_sink.pack_archives(members, str(tmp_path / "packed"), 0, 10, "gzip")
+    (tmp_path / "store" / "archives").mkdir(parents=True)
+    for r in staged.collect():
+        name = r.path.rpartition("/")[2]
+        (tmp_path / "store" / "archives" / name).write_bytes(open(r.path.removeprefix("file:"), "rb").read())
+    (tmp_path / "store" / "archives" / "0-9.tar.zst").write_bytes(b"second copy, listed later")
+    (tmp_path / "store" / "archives" / "20-29.tar.zst").write_bytes(b"broken")
+    store, table = str(tmp_path / "store"), str(tmp_path / "table")
+    failed = jobs.import_job(spark, store, table)
+    assert rows(failed, "batch_start") == [(20,)]
+    keys = inventory.scan_inventory(spark, store, "archives/", "binaryFile")
+    summary = jobs.audit_repair_job(
+        keys, sink.read_batches(spark, table), members.withColumn("size", F.lit(1)).where("false"), table,
+        unreadable=failed, dry_run=True,
+    )
+    assert rows(summary, "batch_start", "missing_heights", "missing_shards", "status") == [
+        (0, 1, 0, "problem"), (10, 0, 1, "problem"), (20, 0, 0, "unreadable"),
+    ]

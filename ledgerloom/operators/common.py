@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,6 +26,17 @@ def broadcast_within(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def of_batches(rows: DataFrame, keys: DataFrame, on: Sequence[str] = ("batch_start", "batch_end")) -> DataFrame:
+    """Rows of the batches listed in `keys`, a small written table.
+
+    Where `rows` is a batch table, only the folders of these batches are read. Dynamic
+    partition pruning wants the listing to be a selection, hence the comparison, which holds
+    for every batch.
+    """
+    picked = keys.select(*on).where(F.col("batch_start") >= 0)
+    return rows.join(broadcast_within(picked), list(on), "left_semi")
+
+
 def slice_width(start: int, stop: int) -> int:
     """Heights per slice so that ``[start, stop]`` has at most ``MAX_SLICES`` slices."""
     return max(1, -(-(stop - start + 1) // MAX_SLICES))

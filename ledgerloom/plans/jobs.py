@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.checks import safe_boundary
 from ..functions.keys import below, parse_archives, path_parts, range_name
 from ..operators import copying, gaps, ranges, stats
-from ..operators.common import broadcast_within
+from ..operators.common import broadcast_within, of_batches
 from ..session import materialise, scratch_path
 from ..sinks import batches as sink
 from ..sinks import records, transfer
@@ -85,7 +85,7 @@ def archive_job(
     # The outer bounds reach the scan as a range filter, the exact batches as a join.
     low, high = inventory.height_bounds(pending.select(F.explode(F.array("batch_start", "batch_end")).alias("height")))
     binned = ranges.assign_batch(objects.where(F.col("height").between(low, high)), start_from, size)
-    listed = binned.join(broadcast_within(pending.select("batch_start")), "batch_start", "left_semi")
+    listed = of_batches(binned, pending, ["batch_start"])
     unlisted = materialise(heights.join(listed.select("height").distinct(), "height", "left_anti"), "unlisted")
     empty = gaps.fallback_missing(unlisted, fallback, BY) if fallback is not None else unlisted
     if consecutive_empty:
@@ -109,7 +109,7 @@ def archive_job(
     totals = sink.replace_batches(rows, out, codec=codec)
     run_sec = time.monotonic() - began
     back = sink.read_batches(spark, out, rows.schema)
-    stored_rows = back.join(broadcast_within(pending.select("batch_start")), "batch_start", "left_semi")
+    stored_rows = of_batches(back, pending, ["batch_start"])
     sink.require_totals(stored_rows, totals, out)
     done = materialise(stats.batch_stats(stored_rows, start_from, size), "stats")
     if stats_path and totals["files"]:  # empty batches have no statistics line
@@ -249,9 +249,7 @@ def import_job(spark: SparkSession, folder: str, out: str, prefix: str | None =
     )
     rows = rows.where("height is not null")
     totals = sink.replace_batches(rows, out)
-    keys = broadcast_within(found.select("batch_start").distinct())
-    back = sink.read_batches(spark, out, rows.schema).join(keys, "batch_start", "left_semi")
-    sink.require_totals(back, totals, out)
+    sink.require_totals(of_batches(sink.read_batches(spark, out, rows.schema), found), totals, out)
     failed = members.where("error is not null").join(found, "archive")
     return materialise(failed.select("batch_start", "error"), "failed")
 
@@ -286,10 +284,7 @@ def audit_repair_job(
         ),
         "archives",
     )
-    keys = broadcast_within(archives.select("batch_start", "batch_end"))
-    members = objects.join(keys, ["batch_start", "batch_end"], "left_semi").where(
-        F.col("height").between(F.col("batch_start"), F.col("batch_end"))
-    )
+    members = of_batches(objects, archives).where(F.col("height").between(F.col("batch_start"), F.col("batch_end")))
     heads = members.where((F.col("member") == gaps.BLOCK) & (F.col("size") > 0))
     checked = materialise(payloads.read_headers(heads.select(*BY, "payload"), BY), "headers")
 
@@ -328,9 +323,9 @@ def audit_repair_job(
     if not dry_run:
         wanted = materialise(gaps.refetch_set(lost_h, lost_s, BY), "wanted")
         absent = gaps.fallback_missing(wanted, fallback, BY)
-        touched = broadcast_within(wanted.select("batch_start", "batch_end").distinct())
+        touched = materialise(wanted.select("batch_start", "batch_end").distinct(), "touched")
         # Only partitions of broken batches are read with their payload.
-        broken = members.join(touched, ["batch_start", "batch_end"], "left_semi")
+        broken = of_batches(members, touched)
         staging = scratch_path(spark, "repaired")
         # Fetched members go to the folder the batch uses.
         placed = wanted.join(layout.select("batch_start", "parent"), "batch_start", "left").fillna("", ["parent"])
@@ -340,22 +335,18 @@ def audit_repair_job(
         heads = fixed.where((F.col("member") == gaps.BLOCK) & (F.col("size") > 0))
         again = payloads.read_headers(heads.select(*BY, "payload"), BY)
         slim = fixed.select(*BY, "member", "size")
-        batches = wanted.select("batch_start", "batch_end").distinct()
-        still_h = gaps.missing_heights(ranges.batch_heights(batches), slim, BY)
+        still_h = gaps.missing_heights(ranges.batch_heights(touched), slim, BY)
         still_s = gaps.missing_shards(payloads.shards_of(again, BY), slim, BY)
         # A fetched block that cannot be read keeps its batch incomplete, too.
         broken_h = again.where("error is not null").select(*BY)
         still = materialise(gaps.problem_report(still_h.select(*BY).union(broken_h), still_s, by=BY), "still-missing")
         done = materialise(
-            batches.join(still.select("batch_start").distinct(), "batch_start", "left_anti"), "complete"
+            touched.join(still.select("batch_start").distinct(), "batch_start", "left_anti"), "complete"
         )
         if path:
-            ready = fixed.join(broadcast_within(done), ["batch_start", "batch_end"], "left_semi")
+            ready = of_batches(fixed, done)
             totals = sink.replace_batches(ready, path)
-            back = sink.read_batches(spark, path, ready.schema)
-            sink.require_totals(
-                back.join(broadcast_within(done), ["batch_start", "batch_end"], "left_semi"), totals, path
-            )
+            sink.require_totals(of_batches(sink.read_batches(spark, path, ready.schema), done), totals, path)
         reason = F.lit("gaps remain after refetch; archive not replaced")
         events += [
             records.gap_events(absent.join(named, "batch_start"), "fallback_not_found", base_url),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.checks import batch_end, batch_start
-from ..operators.common import broadcast_within
+from ..operators.common import of_batches
 from ..operators.ranges import assign_batch
 from ..sinks.batches import balanced
 
@@ -126,7 +126,7 @@ def write_sealed(stream: DataFrame, path: str, checkpoint: str, start: int, size
         # batch_start is a folder of the landing table, so only folders of sealed batches are
         # read (dynamic partition pruning).
         table = spark.read.parquet(landing).where(F.col("epoch") <= epoch)
-        ready = table.join(broadcast_within(sealed), "batch_start", "left_semi").drop("epoch")
+        ready = of_batches(table, sealed, ["batch_start"]).drop("epoch")
         ordered = balanced(ready).sortWithinPartitions("batch_start", "batch_end", "height")
         _replace(ordered, f"{path}/batches", "batch_start", "batch_end")
 

@@ -99,6 +99,16 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert len(one.inputFiles()) and "PartitionFilters: [isnotnull" in one._jdf.queryExecution().executedPlan().toString()
 
 
+def test_only_folders_of_wanted_batches_are_read(spark):
+    path = scratch_path(spark, "pruned")
+    sink.write_batches(hot_objects(spark, 3000), path, 0, 1000)
+    keys = spark.read.parquet(write(spark, spark.createDataFrame([(1000, 1999)], "batch_start bigint, batch_end bigint")))
+    rows = common.of_batches(sink.read_batches(spark, path), keys)
+    plan = final_plan(rows)
+    assert "dynamicpruning" in plan
+    assert {r.batch_start for r in rows.collect()} == {1000}
+
+
 def test_totals_are_combined_before_the_shuffle(spark):
     plan = stats.batch_stats(hot_objects(spark, 3000), 0, 1000)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_sum") > plan.index("Exchange")  # printed top down: partial below its exchange

@@ -11,8 +11,8 @@ from pyspark.sql.window import Window
 # Most rows a relation may have to be broadcast. Rows here are a few numbers or one key.
 BROADCAST_ROWS = 200_000
 
-# Hash slices used for ordered numbering: the first three hex digits of an MD5.
-SLICES = 4096
+# Hash slices used for ordered numbering: the first four hex digits of an MD5.
+SLICES = 65_536
 
 # Ordered height sweeps work in at most this many height slices.
 MAX_SLICES = 4096
@@ -43,9 +43,9 @@ def slice_width(start: int, stop: int) -> int:
 
 
 def hash_slice(key: str | Column) -> Column:
-    """Slice number 0..4095 of a key, in the order of the key's MD5."""
+    """Slice number of a key, in the order of the key's MD5."""
     key = F.col(key) if isinstance(key, str) else key
-    return F.conv(F.substring(F.md5(key), 1, 3), 16, 10).cast("int")
+    return F.conv(F.substring(F.md5(key), 1, 4), 16, 10).cast("int")
 
 
 def running_total(
@@ -61,6 +61,8 @@ def running_total(
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy(slice_col)
     earlier = F.sum("_total").over(before.rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*by, slice_col, F.coalesce(earlier, F.lit(0)).cast("bigint").alias("_offset"))
+    # With more groups the rows, already partitioned by slice for the window, meet the
+    # offsets in a shuffled join.
     if groups * SLICES <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     within = Window.partitionBy(*by, slice_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

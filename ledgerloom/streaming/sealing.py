@@ -95,50 +95,69 @@ def resume(sealed: DataFrame, path: str, checkpoint: str, interval: str | None =
     return follow_head(write_summary(sealed, path, checkpoint), interval)
 
 
-_TOUCHED = "batch_start bigint, head bigint, epoch bigint"
+_STATE = "batch_start bigint, head bigint"
 _CONTROL = "batch_start bigint, epoch bigint"
 
+# Up to this many sealed batches of one micro-batch are read by the names of their folders.
+NAMED_FOLDERS = 1000
+
 
 def write_sealed(stream: DataFrame, path: str, checkpoint: str, start: int, size: int, hot: int) -> DataStreamWriter:
     """Land rows as they come and move whole batches to `path` once they are sealed.
 
-    ``<path>/landing`` holds arrived rows by micro-batch, ``<path>/batches`` the sealed
-    batches, ``<path>/control`` one row per sealed batch. A repeated micro-batch overwrites
-    what it wrote before. Late rows stay in the landing table only.
+    ``<path>/landing`` holds arrived rows by batch and micro-batch, ``<path>/batches`` the
+    sealed batches, ``<path>/control`` one row per sealed batch. Each micro-batch leaves its
+    head and the batches still open in ``<path>/state``; the next one reads only that, so its
+    cost does not grow with the age of the stream. A repeated micro-batch overwrites what it
+    wrote before. Late rows stay in the landing table only.
     """
 
     def step(rows: DataFrame, epoch: int) -> None:
         spark = rows.sparkSession
-        landing, touched, control = f"{path}/landing", f"{path}/touched", f"{path}/control"
+        landing = f"{path}/landing"
         landed = assign_batch(rows, start, size).withColumn("epoch", F.lit(epoch).cast("bigint"))
-        _replace(balanced(landed), landing, "epoch", "batch_start")
-        # Small bookkeeping per micro-batch, so that finding due batches never scans rows.
-        arrived = spark.read.parquet(landing).where(F.col("epoch") == epoch)
-        _replace(arrived.groupBy("epoch", "batch_start").agg(F.max("height").alias("head")), touched, "epoch")
-        seen = spark.read.schema(_TOUCHED).parquet(touched).where(F.col("epoch") <= epoch)
-        head = seen.agg(F.max("head")).scalar()
-        due = seen.where(F.col("batch_start") + size + hot <= head).select("batch_start").distinct()
-        # What this epoch sealed before a restart is sealed again, with the same rows.
-        done = read_control(spark, path).where(F.col("epoch") < epoch)
-        fresh = due.join(done, "batch_start", "left_anti").withColumn("epoch", F.lit(epoch).cast("bigint"))
-        _replace(fresh, control, "epoch")
-        sealed = read_control(spark, path).where(F.col("epoch") == epoch).select("batch_start")
-        # batch_start is a folder of the landing table, so only folders of sealed batches are
-        # read (dynamic partition pruning).
-        table = spark.read.parquet(landing).where(F.col("epoch") <= epoch)
+        _replace(balanced(landed), landing, "batch_start", "epoch")
+
+        state = spark.read.schema(_STATE)
+        before = state.parquet(f"{path}/state/{epoch - 1}") if epoch else spark.createDataFrame([], _STATE)
+        arrived = landed.groupBy("batch_start").agg(F.max("height").alias("head"))
+        _replace(before.unionByName(arrived), f"{path}/seen/{epoch}")
+        seen = state.parquet(f"{path}/seen/{epoch}")
+        old = before.agg(F.max("head")).first()[0]
+        head = seen.agg(F.max("head")).first()[0]
+
+        # A batch is due when the head passes its end; what the old head had passed is done.
+        ready_at = F.col("batch_start") + size + hot
+        due = seen.where((ready_at <= F.lit(head)) & (ready_at > F.lit(-1 if old is None else old)))
+        still_open = seen.where(ready_at > F.lit(head)).select("batch_start").distinct()
+        mark = spark.range(1).select(F.lit(None).cast("bigint").alias("batch_start"))
+        _replace(still_open.union(mark).withColumn("head", F.lit(head).cast("bigint")), f"{path}/state/{epoch}")
+        due = due.select("batch_start").distinct().withColumn("epoch", F.lit(epoch).cast("bigint"))
+        _replace(due, f"{path}/control", "epoch")
+
+        sealed = read_control(spark, path).where(F.col("epoch") == epoch)
+        names = [r.batch_start for r in sealed.limit(NAMED_FOLDERS + 1).collect()]
+        if not names:
+            return
+        folders = [f"{landing}/batch_start={n}" for n in names] if len(names) <= NAMED_FOLDERS else [landing]
+        table = spark.read.option("basePath", landing).parquet(*folders).where(F.col("epoch") <= epoch)
         ready = of_batches(table, sealed, ["batch_start"]).drop("epoch")
         ordered = balanced(ready).sortWithinPartitions("batch_start", "batch_end", "height")
         _replace(ordered, f"{path}/batches", "batch_start", "batch_end")
 
     spark = stream.sparkSession
-    for name, schema in (("touched", _TOUCHED), ("control", _CONTROL)):
-        spark.createDataFrame([], schema).write.mode("append").parquet(f"{path}/{name}")
+    for name, schema in (("control", _CONTROL), ("batches", assign_batch(stream, start, size).schema)):
+        folders = ["epoch"] if name == "control" else ["batch_start", "batch_end"]
+        spark.createDataFrame([], schema).write.mode("append").partitionBy(*folders).parquet(f"{path}/{name}")
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
 
 
 def _replace(df: DataFrame, path: str, *folders: str) -> None:
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
-    writer.partitionBy(*folders).parquet(path)
+    writer = df.write.mode("overwrite").option("compression", "zstd")
+    if folders:
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
+    else:
+        writer.option("partitionOverwriteMode", "static").parquet(path)
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:

@@ -188,7 +188,7 @@ ORACLES = {
         select height from fx_domain
         where height <= coalesce((select min(run_start + 1) from fx_run where n >= 2), height)""",
     "first_source": """
-        select height, priority, count(*) as files, cast(sum(size) as bigint) as bytes
+        select height, cast(priority as bigint) as priority, count(*) as files, cast(sum(size) as bigint) as bytes
         from fx_shard_obj join (select height, min(priority) as priority from fx_shard group by height)
         using (height, priority) group by 1, 2""",
     "union_sources": "select source, cast(priority as bigint) as priority, height, member, size from fx_sources",
@@ -376,7 +376,7 @@ ORACLES = {
                           else 'ok' end as verdict
                    from (select concat('copied/', substr(key, 10)) as key, size, etag from fx_src) s
                    left join fx_dst d on d.key = s.key)
-        select count(*) as listed, 0 as skipped_filter, count(held) as skipped_existing,
+        select count(*) as listed, cast(0 as bigint) as skipped_filter, count(held) as skipped_existing,
                count(*) - count(held) as copied, count(*) filter (verdict = 'ok') as ok,
                count(*) filter (verdict = 'missing') as missing,
                count(*) filter (verdict = 'size_mismatch') as size_mismatch,

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,12 +27,27 @@ SQL_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``SQL_CONF`` to a running session."""
+    """Apply ``SQL_CONF`` to a running session and make this package importable on executors."""
     for key, value in SQL_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="ledgerloom-code-")) / package.name
+    context.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+    _shipped.add(context.applicationId)
+
+
 def local_session(cores: int | str = 8, app: str = "ledgerloom", shared: str | None = None) -> SparkSession:
     """A local session for tests and the benchmark, with `shared` as its shared folder."""
     builder = (

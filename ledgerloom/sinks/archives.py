@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..files import filesystem, qualified
 from ..functions.keys import archive_key, height_key
 from ..operators.ranges import assign_batch
+from ..session import ship_package
 from .batches import balanced
 
 MANIFEST = "path string, batch_start bigint, batch_end bigint, members bigint, bytes bigint"
@@ -94,6 +95,7 @@ def pack_archives(
         F.col("payload").cast("binary").alias("payload"),
     )
     ordered = balanced(rows).sortWithinPartitions("batch_start", "batch_end", "height", "member")
+    ship_package(df.sparkSession)
     root = qualified(df.sparkSession, folder)
     packed = ordered.mapInArrow(lambda it: _pack(it, root, codec, level), MANIFEST)
     packed.write.mode("error").parquet(f"{folder}/_manifest")

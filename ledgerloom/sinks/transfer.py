@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..files import filesystem, qualified
 from ..functions.keys import etag_md5
+from ..session import ship_package
 
 _CHUNK = 8 << 20
 
@@ -49,6 +50,7 @@ def copy_objects(plan: DataFrame, source_root: str, dest_root: str, tasks: int |
     (against a single-part ETag), ``dest_size_mismatch``, ``ok``. Copying again overwrites.
     """
     spark = plan.sparkSession
+    ship_package(spark)
     target = qualified(spark, dest_root)
     schema = pa.schema(
         [

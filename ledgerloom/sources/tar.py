@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..files import filesystem
 from ..operators.common import broadcast_within
 from ..schemas import MEMBERS
+from ..session import ship_package
 
 # Rows go back to Spark once this many payload bytes have gathered, so that memory in a
 # task follows the largest member and not the archive.
@@ -85,6 +86,7 @@ def expand_archives(paths: DataFrame, payloads: bool = True, tasks: int | None =
             ("error", pa.string()),
         ]
     )
+    ship_package(paths.sparkSession)
     # A fixed number of tasks: paths are tiny, so size-based coalescing would put all
     # archives into one task.
     tasks = tasks or 4 * paths.sparkSession.sparkContext.defaultParallelism

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..functions.checks import batch_end, batch_start
 from ..operators.common import of_batches
 from ..operators.ranges import assign_batch
+from ..session import ship_package
 from ..sinks.batches import balanced
 
 
@@ -57,6 +58,7 @@ def stream_gap_counts(stream: DataFrame, start: int, size: int, hot: int) -> Dat
     """Missing heights per sealed batch. Batches without any row never show up here."""
     # Repeats are dropped batch-wise before the shuffle, so that a height that comes again and
     # again does not pile up in one task; the state then drops the rest.
+    ship_package(stream.sparkSession)
     fewer = stream.select("height").mapInArrow(_unique_heights, "height bigint")
     unique = _timed(fewer, start, size, hot).dropDuplicates(["height", "hts"])
     first = _window_start(start, size)

@@ -26,6 +26,15 @@ def _rows(names, rows):
     return sorted(tuple(_cell(row[i]) for i in order) for row in rows), [names[i] for i in order]
 
 
+TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
+def types(con, sql, df):
+    """Column types of both sides, by name."""
+    described = con.execute(f"describe {sql}").fetchall()
+    return dict(df.dtypes), {row[0]: TYPES.get(row[1], row[1]) for row in described}
+
+
 def compare(con, sql, df):
     """None if equal, else a short description of the difference."""
     result = con.execute(sql)

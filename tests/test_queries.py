@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
-from oracle import compare, connect
+from oracle import compare, connect, types
 
 DATA = os.environ.get("TESTDATA_DIR", "/root/testdata")
 # Nothing is sealed among the few heads of the smallest tables.
@@ -31,7 +31,10 @@ def connections():
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, connections, name):
     sf = "sf0.01" if name in LARGER else "sf0.001"
-    assert compare(connections[sf], SQL[name], QUERIES[name](spark, f"{DATA}/{sf}")) is None
+    result = QUERIES[name](spark, f"{DATA}/{sf}")
+    ours, theirs = types(connections[sf], SQL[name], result)
+    assert ours == theirs
+    assert compare(connections[sf], SQL[name], result) is None
 
 
 def test_every_query_has_sql():

@@ -150,7 +150,7 @@ def test_packed_archives_are_plain_tar_files(spark):
     assert sorted((r.batch_start, r.batch_end, r.members) for r in manifest.collect()) == [(0, 9, 10), (10, 19, 10), (20, 29, 5)]
     path = manifest.where("batch_start = 20").first().path
     assert path.endswith("/archives/20-29.tar.gz")
-    with tarfile.open(path) as f:
+    with tarfile.open(path.removeprefix("file://")) as f:
         assert f.getnames() == [f"{h:012d}/block.json" for h in range(20, 25)]
         assert f.extractfile(f.getnames()[0]).read() == b"n20"
 

@@ -123,6 +123,9 @@ ORACLES = {
     "resume_point": "select coalesce(max(batch_end) + 1, 0) as next_height from fx_sealed",
     "compact_batches": _COMPACT,
     "write_heights": _COMPACT,
+    "batch_inventory": """
+        select concat('archives/', b, '-', b + 999, '.tar.zst') as key, b as batch_start, b + 999 as batch_end
+        from (select distinct height // 1000 * 1000 as b from fx_sources)""",
     "replace_batches": """
         select height // 100 * 100 as batch_start, count(*) as files, cast(sum(size) as bigint) as bytes
         from fx_sources

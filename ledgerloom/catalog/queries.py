@@ -231,6 +231,11 @@ def write_heights(spark, d):
     return per_batch(sink.read_batches(spark, written(spark, d, sink.write_heights)))
 
 
+@query
+def batch_inventory(spark, d):
+    return sink.batch_inventory(spark, written(spark, d, sink.write_batches)).select("key", "batch_start", "batch_end")
+
+
 @query
 def replace_batches(spark, d):
     path = written(spark, d, sink.write_batches, small(spark, d))

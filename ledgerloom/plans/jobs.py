@@ -113,7 +113,8 @@ def archive_job(
     sink.require_totals(stored_rows, totals, out)
     done = materialise(stats.batch_stats(stored_rows, start_from, size), "stats")
     if stats_path and totals["files"]:  # empty batches have no statistics line
-        packed = done.join(sink.stored_sizes(spark, out), "batch_start", "left")
+        sizes = sink.batch_inventory(spark, out).select("batch_start", F.col("size").alias("stored_bytes"))
+        packed = done.join(sizes, "batch_start", "left")
         records.append_stats(records.batch_stats_rows(packed, "stored_bytes", run_sec), stats_path)
     if control_path:
         records.save_progress(pending, control_path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.keys import archive_key
 from ..operators.ranges import assign_batch
 
 PARTITION = ["batch_start", "batch_end"]
@@ -89,11 +90,16 @@ def read_batches(spark: SparkSession, path: str, schema: StructType | None = Non
     return rows.select(*kept, *(F.col(c).cast("bigint").alias(c) for c in PARTITION))
 
 
-def stored_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """Bytes on disk per written batch, from the file listing alone."""
+def batch_inventory(spark: SparkSession, path: str, prefix: str = "archives", codec: str = "zstd") -> DataFrame:
+    """A batch table as an archive inventory: ``key, size, batch_start, batch_end``.
+
+    Made from the file listing alone, so that stored batches can be validated, or left out of
+    the pending ones, like archives.
+    """
     files = spark.read.format("binaryFile").load(path)
-    return files.groupBy(F.col("batch_start").cast("bigint").alias("batch_start")).agg(
-        F.sum("length").alias("stored_bytes")
+    folders = [F.col(c).cast("bigint").alias(c) for c in PARTITION]
+    return files.groupBy(*folders).agg(F.sum("length").alias("size")).select(
+        archive_key("batch_start", "batch_end", prefix, codec).alias("key"), "size", *PARTITION
     )
 
 

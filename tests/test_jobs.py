@@ -60,7 +60,14 @@ def test_archive_job_seals_resumes_and_keeps_partial_batches_open(spark):
     second = run(43, done)
     assert rows(second, "batch_start", "dirs") == [(30, 10)]
     assert sink.read_batches(spark, out).count() == 37
-    assert spark.read.json(f"{folder}/stats").count() == 4
+    lines = spark.read.json(f"{folder}/stats")
+    assert lines.count() == 4 and lines.where("run_sec is null or compressed_mb is null").count() == 0
+
+    # Stored batches count as archives: nothing is pending, and only the open end is missing.
+    listed = sink.batch_inventory(spark, out)
+    assert jobs.pending_work(spark, listed, 0, 39, 10).count() == 0
+    check = jobs.validate_job(listed, start_from=0, stop_at=44, size=10).first()
+    assert (check.expected, check.missing, check.first_missing, check.gaps) == (5, 1, "40-44", 1)
 
 
 def test_archive_job_skips_stored_batches_and_reports_empty_ones(spark):

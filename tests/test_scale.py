@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import common, copying, gaps, ranges, stats
 from ledgerloom.session import scratch_path, shared_dir
 from ledgerloom.sinks import batches as sink
+from ledgerloom.sources.inventory import scan_inventory
 
 
 @pytest.fixture
@@ -99,6 +100,12 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert len(one.inputFiles()) and "PartitionFilters: [isnotnull" in one._jdf.queryExecution().executedPlan().toString()
 
 
+def test_prefix_reaches_the_inventory_scan(spark):
+    path = write(spark, spark.createDataFrame([("data/a", 1, "e"), ("x", 2, "f")], "key string, size bigint, etag string"))
+    plan = scan_inventory(spark, path, "data/")._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(key,data/)" in plan and "etag" not in plan
+
+
 def test_only_folders_of_wanted_batches_are_read(spark):
     path = scratch_path(spark, "pruned")
     sink.write_batches(hot_objects(spark, 3000), path, 0, 1000)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sentence_pieces, token_counts
+from . import fingerprints, personal_data, sentence_pieces, token_counts
 from .common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -39,3 +39,24 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.prefix_counts(table(spark, folder, "documents"), PIECES, TOKEN_LIMIT)
     over = (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
     return counts.select("doc_id", "n_bytes", "n_tokens", over, "chars_within")
+
+
+@query("op6_personal_data")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data.find(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s.kind.isin(*personal_data.BASE))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, personal_data.BASE),
+        F.sha2(personal_data.joined(base), 256).alias("base_sha256"),
+        personal_data.joined("spans").alias("spans"),
+    )
+
+
+@query("op3_fingerprints")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))

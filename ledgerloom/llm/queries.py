@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, personal_data, sentence_pieces, token_counts
+from . import fingerprints, mixture_packing, personal_data, sentence_pieces, token_counts, token_files
 from .common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 TOKEN_LIMIT = 4096
+END_ID = 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +61,13 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_fingerprints")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
+@query("op4_token_files")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.read(token_files.write(table(spark, folder, "documents"), WORDS, END_ID))
+
+
+@query("op10_mixture_packing")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture_packing.pack(table(spark, folder, "documents"), WORDS, END_ID)

@@ -92,3 +92,13 @@ class WordCache:
 def text_columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Id and text under fixed names; other columns, whatever their names, are left out."""
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """`names`, with underscores behind them where `df` has such a column already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

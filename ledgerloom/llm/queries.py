@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, mixture_packing, personal_data, sentence_pieces, token_counts, token_files
+from . import fingerprints, line_dedup, mixture_packing, personal_data, sentence_pieces, token_counts, token_files
 from .common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -71,3 +71,33 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_mixture_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mixture_packing.pack(table(spark, folder, "documents"), WORDS, END_ID)
+
+
+# Spaces and control characters that are stripped from both ends of a line.
+STRIPPED = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+LINE_SQL = f"""
+with docs as (
+    select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
+), lines as (
+    select r, doc_id, unnest(lines) as line, unnest(range(len(lines))) as place from docs
+), keyed as (
+    select *, {LOWERED.format(f"trim(line, {STRIPPED})")} as key from lines
+), owners as (
+    select key, min(doc_id) as owner from keyed where length(key) >= {line_dedup.SHORTEST_KEY} and doc_id is not null
+    group by key having count(distinct doc_id) > 1
+), judged as (
+    select k.r, k.line, k.place, coalesce(k.doc_id <> o.owner, false) as gone from keyed k left join owners o using (key)
+), kept as (
+    select r, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+        coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '') as kept
+    from judged group by r
+)
+select doc_id, n_lines, n_dropped, sha256(kept) as kept_sha256 from kept join docs using (r)
+"""
+
+
+@query("op5_line_dedup", LINE_SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digests(table(spark, folder, "documents"))

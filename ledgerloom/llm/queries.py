@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, line_dedup, mixture_packing, personal_data, sentence_pieces, token_counts, token_files
+from . import fingerprints, jaccard_join, line_dedup, mixture_packing, personal_data, sentence_pieces, token_counts, token_files
 from .common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -101,3 +101,9 @@ select doc_id, n_lines, n_dropped, sha256(kept) as kept_sha256 from kept join do
 @query("op5_line_dedup", LINE_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digests(table(spark, folder, "documents"))
+
+
+@query("op1_ngram_jaccard")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard_join.jaccard_join(table(spark, folder, "documents"), words=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id", "class_id")

@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard_join, line_dedup, mixture_packing, personal_data, sentence_pieces, token_counts, token_files
+from . import (
+    fingerprints,
+    jaccard_join,
+    line_dedup,
+    mixture_packing,
+    personal_data,
+    sentence_pieces,
+    small_world,
+    token_counts,
+    token_files,
+)
 from .common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -107,3 +117,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard_join.jaccard_join(table(spark, folder, "documents"), words=3, percent=90)
     return found.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+@query("op8_small_world")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return small_world.nearest(table(spark, folder, "embeddings"), k=5, every=50)

@@ -18,6 +18,7 @@ from . import (
     small_world,
     token_counts,
     token_files,
+    weak_labels,
 )
 from .common import table
 
@@ -122,3 +123,9 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_small_world")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return small_world.nearest(table(spark, folder, "embeddings"), k=5, every=50)
+
+
+@query("op9_weak_labels")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return weak_labels.score(docs, weak_labels.fit(docs, table(spark, folder, "labels")))

@@ -50,6 +50,9 @@ class PieceModel:
         self._bytes_of = {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
         self._text_of = {i: p.replace(SPACE, " ").encode() for p, i in self.ids.items()}
         self._silent = {i for i in range(size) if lib.is_control(i)}
+        # ASCII bytes are characters of their own; a byte piece of a space is no mark, though.
+        self._simple = self._text_of | {self.byte_ids[b]: bytes([b]) for b in range(128) if b != 0x20}
+        self.decimals = [str(i) for i in range(size)]
 
     def words(self, text: str) -> list[str]:
         """The marked text cut before each run of marks; each word goes without its first mark."""
@@ -116,18 +119,23 @@ class PieceModel:
 
     def library_segment_ids(self, segments: list[str]) -> list[list[int]]:
         """The library's ids of segments, each set off by a newline, which merges with nothing."""
-        lead = self.library.encode("\n")
-        texts = ["\n" + s.replace(SPACE, " ") for s in segments]
-        found = self.library.encode(texts, num_threads=1)
-        if any(ids[: len(lead)] != lead for ids in found):
+        if not segments:
+            return []
+        lead, newline = self.library.encode("\n")[:-1], self.library.encode("\n")[-1]
+        plain = [s for s in segments if s != "\n"]
+        text = "".join(["\n" + s.replace(SPACE, " ") for s in plain])
+        ids = self.library.encode(text, num_threads=1)[len(lead) :]
+        cuts = [k for k, i in enumerate(ids) if i == newline]
+        if len(cuts) != len(plain):
             raise ValueError("a newline merges with its neighbours")
-        return [ids[len(lead) :] for ids in found]
+        found = {s: ids[a + 1 : b] for s, a, b in zip(plain, cuts, [*cuts[1:], len(ids)], strict=True)}
+        return [[newline] if s == "\n" else found[s] for s in segments]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: pieces joined, marks as spaces, the first mark gone, bytes as UTF-8."""
         texts, raws = self._text_of, self._bytes_of
-        try:  # whole pieces only, the usual case
-            joined = b"".join(map(texts.__getitem__, ids))
+        try:  # no character in several bytes, the usual case
+            joined = b"".join(map(self._simple.__getitem__, ids))
         except KeyError:
             parts, run, first = [], bytearray(), True
             for i in ids:

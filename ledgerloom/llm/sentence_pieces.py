@@ -89,7 +89,8 @@ def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
         for batch in slices(batches, "text"):
             ids = encoded(strings(batch, "text"), model_path)
             counts = list(map(len, ids))
-            sums = [hashlib.sha256(",".join(map(str, i)).encode()).hexdigest() for i in ids]
+            decimals = load(model_path).decimals
+            sums = [hashlib.sha256(",".join(map(decimals.__getitem__, i)).encode()).hexdigest() for i in ids]
             texts = [hashlib.sha256(t.encode()).hexdigest() for t in _decoded(ids, model_path)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums), pa.array(texts)],

@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 from .common import slices, stored, strings, text_columns
 from .components import connected
 
-# Buckets of the frequency table: 4 MB, whatever the corpus.
-BUCKET_BITS = 20
+# Buckets of the frequency table: 16 MB, whatever the corpus.
+BUCKET_BITS = 22
 # The table travels in slices of so many buckets.
-SLICE_BITS = 14
+SLICE_BITS = 16
 # Hash regions of the suffix filter.
 REGIONS = 16
 
@@ -86,10 +86,13 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, np.uint32)
+        held: list[np.ndarray] = []
         for batch in slices(batches, "text"):
             found = [shingles(t, words) for t in strings(batch, "text")]
-            every = np.concatenate(found)
-            counts += np.bincount(_buckets(every), minlength=len(counts)).astype(np.uint32)
+            held.append(_buckets(np.concatenate(found)))
+            if sum(map(len, held)) >= len(counts):
+                counts += np.bincount(np.concatenate(held), minlength=len(counts)).astype(np.uint32)
+                held = []
             d1, d2 = _longs([_digest(f) for f in found])
             size, none = len(found), pa.nulls
             yield pa.RecordBatch.from_arrays(
@@ -103,6 +106,8 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
                 ],
                 names,
             )
+        if held:
+            counts += np.bincount(np.concatenate(held), minlength=len(counts)).astype(np.uint32)
         parts = counts.reshape(-1, 1 << SLICE_BITS)
         used = np.flatnonzero(parts.any(axis=1)).tolist()
         size, none = len(used), pa.nulls
@@ -171,7 +176,7 @@ def _prefixes(rows: DataFrame, words: int, percent: int, frequencies) -> DataFra
 
 
 def _full_sets(rows: DataFrame, words: int) -> DataFrame:
-    """``rid, regions, tokens``: whole sets and their counts per hash region."""
+    """``rid, n, regions, tokens``: whole sets and their counts per hash region."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -180,13 +185,14 @@ def _full_sets(rows: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    pa.array([len(f) for f in found], pa.int32()),
                     pa.array(regions, pa.list_(pa.int32())),
                     pa.array([f.tobytes() for f in found], pa.binary()),
                 ],
-                ["rid", "regions", "tokens"],
+                ["rid", "n", "regions", "tokens"],
             )
 
-    return rows.mapInArrow(run, "rid bigint, regions array<int>, tokens binary")
+    return rows.mapInArrow(run, "rid bigint, n int, regions array<int>, tokens binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -207,22 +213,35 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
 
 
+def _needed(percent: int):
+    """Common tokens that sets of sizes ``l.n`` and ``r.n`` need."""
+    return F.ceil(F.lit(percent) * (F.col("l.n") + F.col("r.n")) / (100 + percent) - F.lit(1e-9)).cast("int")
+
+
 def _possible(percent: int):
-    """Whether rows ``l`` and ``r`` that share a token can be similar: length, place and suffix.
+    """Whether rows ``l`` and ``r`` that share a token can be similar, by length and place.
 
-    Sets of sizes ``n`` and ``m`` need ``p (n + m) / (100 + p)`` common tokens. If the shared token
-    is their first in common, no more can be common than stand from there on in either set; and
-    what the counts per region differ by can't be common at all.
+    If the shared token is their first in common, no more can be common than stand from there
+    on in either set.
     """
     n, m = F.col("l.n"), F.col("r.n")
-    both = n + m
-    needed = F.ceil(F.lit(percent) * both / (100 + percent) - F.lit(1e-9)).cast("int")
     length = (F.lit(100) * n >= F.lit(percent) * m) & (F.lit(100) * m >= F.lit(percent) * n)
-    place = F.least(n - F.col("l.place"), m - F.col("r.place")) >= needed
+    place = F.least(n - F.col("l.place"), m - F.col("r.place")) >= _needed(percent)
+    return (F.col("l.rid") != F.col("r.rid")) & length & place
+
+
+def _suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose tokens can lie alike: what the counts per region differ by can't be common."""
+    light = sets.select("rid", "n", "regions")
     apart = F.aggregate(
         F.zip_with("l.regions", "r.regions", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, x: total + x
     )
-    return length & place & (apart <= both - 2 * needed)
+    return (
+        pairs.join(light.alias("l"), F.col("a") == F.col("l.rid"))
+        .join(light.alias("r"), F.col("b") == F.col("r.rid"))
+        .where(apart <= F.col("l.n") + F.col("r.n") - 2 * _needed(percent))
+        .select("a", "b")
+    )
 
 
 def _pair(one: str, other: str):
@@ -250,41 +269,34 @@ def jaccard_join(
     # Tokens in the prefixes of at least two classes.
     shared = entries.groupBy("token").agg(F.min("d1").alias("low"), F.max("d1").alias("high")).where("low <> high")
     met = entries.join(shared.select("token"), "token", "left_semi").distinct()
-    posted = stored(met.join(classes, ["d1", "d2"]).select("token", "rid", "n", "place"), "jaccard-postings")
-    texts = rows.join(posted.select(F.col("rid").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    full = stored(_full_sets(texts, words), "jaccard-full")
-    postings = stored(posted.join(full.select("rid", "regions"), "rid"), "jaccard-regions")
+    postings = stored(met.join(classes, ["d1", "d2"]).select("token", "rid", "n", "place"), "jaccard-postings")
+    possible = _possible(percent)
+    same_token = F.col("l.token") == F.col("r.token")
+    # Whole sets of the classes that have a partner to try, with one shuffle of texts.
+    live = postings.alias("l").join(postings.alias("r"), same_token & possible, "left_semi")
+    live = stored(live.select(F.col("rid").alias("doc_id")).distinct(), "jaccard-live")
+    full = stored(_full_sets(rows.join(live, "doc_id", "left_semi"), words), "jaccard-full")
 
     # The foremost class of each token: it has the fewest rarer tokens, like the common origin of copies.
     foremost = stored(
         postings.groupBy("token").agg(F.min_by("rid", F.struct("place", "rid")).alias("first")), "jaccard-foremost"
     )
     heads = postings.join(foremost, "token").where("rid = first").drop("first")
-    possible = _possible(percent)
-    tried = (
-        postings.alias("l")
-        .join(heads.alias("r"), F.col("l.token") == F.col("r.token"))
-        .where((F.col("l.rid") != F.col("r.rid")) & possible)
-        .select(*_pair("l.rid", "r.rid"))
-        .distinct()
-    )
-    tried = stored(tried, "jaccard-first")
+    met_first = postings.alias("l").join(heads.alias("r"), same_token & possible).select(*_pair("l.rid", "r.rid"))
+    tried = stored(_suffix_filter(met_first.distinct(), full, percent), "jaccard-first")
     links = stored(_verified(tried, full, percent), "jaccard-links")
 
     placed = _with_component(postings, connected(links))
     # Of two classes in different components at least one isn't in that of the token's foremost.
     leading = placed.join(foremost, "token").where("rid = first").select("token", F.col("component").alias("leading"))
     apart = placed.join(leading, "token").where("component <> leading").drop("leading")
-    rest = (
+    met_later = (
         apart.alias("l")
-        .join(
-            placed.alias("r"),
-            (F.col("l.token") == F.col("r.token")) & (F.col("l.component") != F.col("r.component")) & possible,
-        )
+        .join(placed.alias("r"), same_token & (F.col("l.component") != F.col("r.component")) & possible)
         .select(*_pair("l.rid", "r.rid"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
     )
+    rest = _suffix_filter(met_later.distinct().join(tried, ["a", "b"], "left_anti"), full, percent)
+    rest = stored(rest, "jaccard-later")
     links = links.unionAll(stored(_verified(rest, full, percent), "jaccard-more-links"))
     components = connected(links)
 

@@ -15,7 +15,7 @@ from ..schemas import BATCH_STATS, CONTROL
 from ..session import configure, materialise, scratch_path
 from ..sinks import archives as tar_sink
 from ..sinks import batches as sink
-from ..sinks import records, transfer
+from ..sinks import records
 from ..sources import inventory, payloads, tar
 from ..streaming import sealing
 
@@ -23,21 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 START, SIZE, HOT = 0, 1000, 100
-RANGE = 100
-
-
-def large(spark: SparkSession, d: str) -> int:
-    """Heights per batch, ``SIZE`` on tables of up to ten million heights."""
-    return fx.batch_size(spark, d, SIZE)
-
-
-def small(spark: SparkSession, d: str) -> int:
-    """Heights per archive, ``RANGE`` on tables of up to a million heights."""
-    return fx.batch_size(spark, d, RANGE)
-
-
-def head_size(spark: SparkSession, d: str) -> int:
-    return fx.batch_size(spark, d, SIZE, "events", "event_id")
+RANGE = fx.ARCHIVE_HEIGHTS
 
 
 def query(fn: Query) -> Query:
@@ -54,7 +40,7 @@ def domain(spark: SparkSession, d: str) -> DataFrame:
 
 def expected(spark: SparkSession, d: str, size: int | None = None) -> DataFrame:
     """Ranges from 0 to the highest height."""
-    return inventory.expected_batches(spark, START, inventory.height_bounds(fx.block(spark, d))[1], size or small(spark, d))
+    return inventory.expected_batches(spark, START, inventory.height_bounds(fx.block(spark, d))[1], size or RANGE)
 
 
 def parsed(spark: SparkSession, d: str) -> DataFrame:
@@ -173,7 +159,7 @@ def packed(spark, d, folder, codec="zstd"):
     texts = fx.table(spark, d, "documents").select(
         F.col("doc_id").alias("height"), F.lit("block.json").alias("member"), F.col("text").alias("payload")
     )
-    return tar_sink.pack_archives(texts, folder, START, fx.batch_size(spark, d, RANGE, "documents", "doc_id"), codec)
+    return tar_sink.pack_archives(texts, folder, START, RANGE, codec)
 
 
 @query
@@ -185,21 +171,13 @@ def expand_archives(spark, d):
     return tar.readable_members(spark.read.parquet(members)).select("member", "size", F.md5("payload").alias("md5"))
 
 
-@query
-def pack_archives(spark, d):
-    manifest = packed(spark, d, scratch_path(spark, "tar"), "gzip")
-    return manifest.groupBy("batch_start", "batch_end").agg(
-        F.sum("members").alias("members"), F.sum("bytes").alias("bytes")
-    )
-
-
 @query
 def latest_height(spark, d):
     return inventory.latest_height(fx.heads(spark, d))
 
 
 def sealed_static(spark, d):
-    return sealing.sealed_now(fx.heads(spark, d), START, head_size(spark, d), HOT)
+    return sealing.sealed_now(fx.heads(spark, d), START, SIZE, HOT)
 
 
 @query
@@ -213,7 +191,7 @@ def resume_point(spark, d):
 
 def written(spark, d, write, size=None):
     path = scratch_path(spark, "batches")
-    write(fx.sources(spark, d), path, START, size or large(spark, d))
+    write(fx.sources(spark, d), path, START, size or SIZE)
     return path
 
 
@@ -238,18 +216,18 @@ def batch_inventory(spark, d):
 
 @query
 def replace_batches(spark, d):
-    path = written(spark, d, sink.write_batches, small(spark, d))
-    broken = ranges.assign_batch(no_block(spark, d), START, small(spark, d)).select("batch_start").distinct()
-    kept = ranges.assign_batch(fx.sources(spark, d), START, small(spark, d)).where("size > 0")
+    path = written(spark, d, sink.write_batches, RANGE)
+    broken = ranges.assign_batch(no_block(spark, d), START, RANGE).select("batch_start").distinct()
+    kept = ranges.assign_batch(fx.sources(spark, d), START, RANGE).where("size > 0")
     repaired = kept.join(broken, "batch_start", "left_semi").drop("batch_start", "batch_end")
-    sink.replace_batches(repaired, path, START, small(spark, d))
+    sink.replace_batches(repaired, path, START, RANGE)
     return per_batch(sink.read_batches(spark, path))
 
 
 @query
 def verify_batches(spark, d):
     path = written(spark, d, sink.write_batches)
-    return sink.verify_batches(fx.sources(spark, d), path, START, large(spark, d)).select("batch_start", "files", "bytes", "ok")
+    return sink.verify_batches(fx.sources(spark, d), path, START, SIZE).select("batch_start", "files", "bytes", "ok")
 
 
 def large_blocks(spark, d):
@@ -261,14 +239,14 @@ def large_blocks(spark, d):
 @query
 def append_stats(spark, d):
     path = scratch_path(spark, "stats")
-    lines = records.batch_stats_rows(stats.batch_stats(large_blocks(spark, d), START, large(spark, d)))
+    lines = records.batch_stats_rows(stats.batch_stats(large_blocks(spark, d), START, SIZE))
     records.append_stats(lines, path)
     return spark.read.schema(BATCH_STATS).json(path).select("batch", "uncompressed_mb", "dirs")
 
 
 @query
 def audit_events(spark, d):
-    lost = ranges.assign_batch(no_block(spark, d), START, large(spark, d))
+    lost = ranges.assign_batch(no_block(spark, d), START, SIZE)
     absent = ranges.missing_ranges(expected(spark, d), parsed(spark, d))
     path = scratch_path(spark, "events")
     records.append_lines(
@@ -351,8 +329,8 @@ def present_objects(spark, d):
 @query
 def scope_filter(spark, d):
     low, high = inventory.height_bounds(fx.block(spark, d))
-    stop = fx.block(spark, d).agg(checks.safe_boundary(F.max("height"), large(spark, d), HOT)).first()[0]
-    return ranges.scope_filter(parsed(spark, d), low + small(spark, d), stop).select("key", "first", "last")
+    stop = fx.block(spark, d).agg(checks.safe_boundary(F.max("height"), SIZE, HOT)).first()[0]
+    return ranges.scope_filter(parsed(spark, d), low + RANGE, stop).select("key", "first", "last")
 
 
 @query
@@ -511,19 +489,19 @@ def repair_gate(spark, d):
 
 @query
 def problem_report(spark, d):
-    report = gaps.problem_report(*lost(spark, d, stored_primary(spark, d)), START, small(spark, d))
+    report = gaps.problem_report(*lost(spark, d, stored_primary(spark, d)), START, RANGE)
     return report.select("batch_start", "height", F.array_join("missing_shard_ids", ",").alias("missing_shards"))
 
 
 @query
 def problem_counts(spark, d):
-    return gaps.batch_gaps(*lost(spark, d, stored_primary(spark, d)), START, small(spark, d))
+    return gaps.batch_gaps(*lost(spark, d, stored_primary(spark, d)), START, RANGE).drop("batch_end")
 
 
 @query
 def fill_totals(spark, d):
-    found = ranges.assign_batch(wanted(spark, d, stored_primary(spark, d)), START, large(spark, d))
-    absent = ranges.assign_batch(gaps.fallback_missing(found, fallback(spark, d)), START, large(spark, d))
+    found = ranges.assign_batch(wanted(spark, d, stored_primary(spark, d)), START, SIZE)
+    absent = ranges.assign_batch(gaps.fallback_missing(found, fallback(spark, d)), START, SIZE)
     got = inventory.read_heights(found, fallback(spark, d))
     events = records.audit_events(
         [
@@ -532,7 +510,7 @@ def fill_totals(spark, d):
             records.gap_events(absent, "fallback_not_found"),
         ]
     )
-    return gaps.fill_totals(events)
+    return gaps.fill_totals(events).drop("batch_end")
 
 
 @query
@@ -541,7 +519,7 @@ def layout_check(spark, d):
     rows = fx.block_objects(spark, d).select(
         F.concat(F.when(odd, "alt/").otherwise(""), keys.height_key("height", "data"), F.col("member")).alias("key"), "size"
     )
-    return gaps.layout_check(inventory.with_heights(rows), START, small(spark, d))
+    return gaps.layout_check(inventory.with_heights(rows), START, RANGE).drop("batch_end")
 
 
 # --- ranges
@@ -590,12 +568,12 @@ def coverage_gaps(spark, d):
 
 @query
 def assign_batch(spark, d):
-    return ranges.assign_batch(fx.objects(spark, d).select("height", "member"), START, large(spark, d))
+    return ranges.assign_batch(fx.objects(spark, d).select("height", "member"), START, SIZE)
 
 
 @query
 def batch_stats(spark, d):
-    return stats.batch_stats(fx.objects(spark, d), START, large(spark, d))
+    return stats.batch_stats(fx.objects(spark, d), START, SIZE)
 
 
 @query
@@ -688,11 +666,6 @@ def delete_manifest(spark, d):
     return copying.delete_manifest(fx.source_objects(spark, d), "archives/")
 
 
-@query
-def copy_schedule(spark, d):
-    return copying.copy_schedule(fx.source_objects(spark, d), 16, 5000)
-
-
 # --- streaming
 
 
@@ -704,7 +677,7 @@ def sealed_batches(spark, d):
 @query
 def late_heights(spark, d):
     late = fx.table(spark, d, "labels").select(F.col("doc_id").alias("height"))
-    return sealing.late_heights(late, sealed_static(spark, d), START, head_size(spark, d))
+    return sealing.late_heights(late, sealed_static(spark, d), START, SIZE)
 
 
 def landed(spark, d, folder, parts=range(4), of=4):
@@ -722,7 +695,7 @@ def landed(spark, d, folder, parts=range(4), of=4):
 def sealed_batches_stream(spark, d):
     folder = scratch_path(spark, "stream")
     stream = landed(spark, d, f"{folder}/in")
-    sealed = sealing.sealed_batches(stream, START, head_size(spark, d), HOT)
+    sealed = sealing.sealed_batches(stream, START, SIZE, HOT)
     sealing.resume(sealed, f"{folder}/out", f"{folder}/ck").awaitTermination()
     return spark.read.schema("batch_start bigint, batch_end bigint, dirs bigint").parquet(f"{folder}/out")
 
@@ -732,7 +705,7 @@ def stream_resume(spark, d):
     folder = scratch_path(spark, "stream")
     for parts in ([0, 1], [2], [3]):
         stream = landed(spark, d, f"{folder}/in", parts)
-        sealed = sealing.sealed_batches(stream, START, head_size(spark, d), HOT)
+        sealed = sealing.sealed_batches(stream, START, SIZE, HOT)
         sealing.resume(sealed, f"{folder}/out", f"{folder}/ck").awaitTermination()
     return spark.read.schema("batch_start bigint, batch_end bigint, dirs bigint").parquet(f"{folder}/out")
 
@@ -741,7 +714,7 @@ def stream_resume(spark, d):
 def stream_sink(spark, d):
     folder = scratch_path(spark, "stream")
     stream = landed(spark, d, f"{folder}/in")
-    writer = sealing.write_sealed(stream, f"{folder}/out", f"{folder}/ck", START, head_size(spark, d), HOT)
+    writer = sealing.write_sealed(stream, f"{folder}/out", f"{folder}/ck", START, SIZE, HOT)
     sealing.follow_head(writer).awaitTermination()
     rows = spark.read.schema("height bigint, batch_start bigint, batch_end bigint").parquet(f"{folder}/out/batches")
     return rows.groupBy("batch_start").agg(F.count("*").alias("dirs"))
@@ -751,7 +724,7 @@ def stream_sink(spark, d):
 def stream_gap_counts(spark, d):
     folder = scratch_path(spark, "stream")
     stream = landed(spark, d, f"{folder}/in")
-    counts = sealing.stream_gap_counts(stream, START, head_size(spark, d), HOT)
+    counts = sealing.stream_gap_counts(stream, START, SIZE, HOT)
     sealing.resume(counts, f"{folder}/out", f"{folder}/ck").awaitTermination()
     schema = "batch_start bigint, batch_end bigint, seen bigint, missing bigint"
     return spark.read.schema(schema).parquet(f"{folder}/out")
@@ -772,7 +745,7 @@ def archive_job(spark, d):
         fx.archives(spark, d),
         f"{folder}/out",
         start_from=START,
-        size=small(spark, d),
+        size=RANGE,
         latest=inventory.latest_height(fx.heads(spark, d)),
         hot=HOT,
         fallback=fx.fallback(spark, d),
@@ -786,13 +759,13 @@ def stage_job(spark, d):
     one, two = first_and_second(spark, d)
     low, high = inventory.height_bounds(fx.block(spark, d))
     out = scratch_path(spark, "staged")
-    return jobs.stage_job(with_source(one, "first", 1), two, out, start_from=low, stop_at=high, size=large(spark, d))
+    return jobs.stage_job(with_source(one, "first", 1), two, out, start_from=low, stop_at=high, size=SIZE)
 
 
 @query
 def fix_gaps_job(spark, d):
     folder = scratch_path(spark, "gaps")
-    have = ranges.assign_batch(fx.block_objects(spark, d), START, small(spark, d)).withColumn("parent", F.lit("data"))
+    have = ranges.assign_batch(fx.block_objects(spark, d), START, RANGE).withColumn("parent", F.lit("data"))
     return jobs.fix_gaps_job(
         batch_names(spark, d),
         have,
@@ -801,7 +774,7 @@ def fix_gaps_job(spark, d):
         base_url="https://api.example.org/v0/block",
         api_key="K",
         events_path=f"{folder}/events",
-    )
+    ).drop("batch_end")
 
 
 @query
@@ -827,7 +800,7 @@ def with_headers(spark, d, rows):
 def audit_repair_job(spark, d):
     folder = scratch_path(spark, "audit")
     members = with_headers(spark, d, primary(spark, d)).withColumn("parent", F.lit("data"))
-    sink.write_batches(members, f"{folder}/batches", START, small(spark, d))
+    sink.write_batches(members, f"{folder}/batches", START, RANGE)
     summary = jobs.audit_repair_job(
         fx.archives(spark, d),
         sink.read_batches(spark, f"{folder}/batches"),
@@ -843,7 +816,7 @@ def audit_repair_job(spark, d):
 def validate_job(spark, d):
     stop = inventory.height_bounds(fx.block(spark, d))[1]
     path = scratch_path(spark, "validation")
-    return jobs.validate_job(fx.archives(spark, d), start_from=START, stop_at=stop, size=small(spark, d), stats_path=path)
+    return jobs.validate_job(fx.archives(spark, d), start_from=START, stop_at=stop, size=RANGE, stats_path=path)
 
 
 @query
@@ -857,19 +830,6 @@ def copy_job(spark, d):
     )
 
 
-@query
-def copy_objects(spark, d):
-    folder = scratch_path(spark, "copy")
-    packed(spark, d, f"{folder}/in")
-    listed = inventory.scan_inventory(spark, f"{folder}/in", "task-", "binaryFile")
-    listed = listed.select("key", "size", F.lit(None).cast("string").alias("etag"))
-    named = keys.parse_archives(listed, exact_prefix=False)
-    plan = named.withColumn("dest_key", F.concat(F.lit("copied/"), "key"))
-    sent = transfer.copy_objects(plan, f"{folder}/in", f"{folder}/out")
-    first = F.regexp_extract("key", r"([0-9]+)-[0-9]+\.tar", 1).cast("bigint")
-    return sent.groupBy(first.alias("batch_start")).agg(F.bool_and(F.col("verdict") == "ok").alias("ok"))
-
-
 @query
 def exists_job(spark, d):
     names = expected(spark, d).select(keys.archive_key("batch_start", "batch_end").alias("key"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.fs  # noqa: F401  (makes pa.fs available)
-from pyspark.sql import SparkSession
 
 
 def filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
@@ -14,10 +13,3 @@ def filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
     if "://" in path and not path.startswith("file:"):
         return pa.fs.FileSystem.from_uri(path)
     return pa.fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-
-
-def qualified(spark: SparkSession, folder: str) -> str:
-    """`folder` with the scheme Spark resolves it to, so that tasks open the same store."""
-    marker = f"{folder.rstrip('/')}/_root"
-    spark.range(1).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(marker)
-    return spark.read.parquet(marker).inputFiles()[0].rpartition("/_root/")[0]

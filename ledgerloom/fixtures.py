@@ -7,27 +7,14 @@ from pyspark.sql import functions as F
 
 from .functions.checks import whole_div
 from .functions.keys import height_key, shard_member
-from .sources.inventory import height_bounds
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
+# Heights per archive of :func:`archives`.
+ARCHIVE_HEIGHTS = 100
 
-# Most batches a table may be cut into; every batch of a written table is a folder.
-MAX_BATCHES = 10_000
-_spans: dict[tuple[str, str], int] = {}
 
-
-def batch_size(spark: SparkSession, folder: str, base: int, name: str = "orders", key: str = "o_orderkey") -> int:
-    """Heights per batch: `base`, times ten as often as the key span of a table needs it."""
-    if (folder, name) not in _spans:
-        low, high = height_bounds(table(spark, folder, name), key)
-        _spans[folder, name] = high - low + 1
-    size = base
-    while _spans[folder, name] > size * MAX_BATCHES:
-        size *= 10
-    return size
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def block(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,7 +64,7 @@ def objects(spark: SparkSession, folder: str) -> DataFrame:
 
 def archives(spark: SparkSession, folder: str) -> DataFrame:
     """Archive inventory with gaps, misaligned, repeated, nested and unusable keys."""
-    b, size = F.col("b"), batch_size(spark, folder, 100)
+    b, size = F.col("b"), ARCHIVE_HEIGHTS
     bins = table(spark, folder, "orders").select(whole_div("o_orderkey", F.lit(size)).alias("b")).distinct()
 
     def name(prefix: str, low: int, ext) -> object:

@@ -56,7 +56,7 @@ def copy_counters(
 ) -> DataFrame:
     """One row: keys listed, skipped by name, skipped as existing, and copied."""
     marked = _candidates(source, source_prefix, dest_prefix, copy_all_under_prefix)
-    held = dest.select(F.col("key").alias("dest_key"), F.lit(True).alias("_held"))
+    held = dest.select(F.col("key").alias("dest_key"), F.lit(True).alias("_held")).distinct()
     marked = marked.join(held, "dest_key", "left")
     exists = F.col("_held").isNotNull() & F.lit(not overwrite)
     return marked.agg(
@@ -71,12 +71,13 @@ def reconcile(source: DataFrame, dest: DataFrame, include_extra: bool = False) -
     """Verdict per copied key: ``missing``, ``size_mismatch``, ``md5_mismatch`` or ``ok``.
 
     `source` holds ``dest_key, size, etag``, `dest` holds ``key, size, etag``. MD5 counts only
-    where both ETags are single-part ones. With `include_extra`, destination keys without a
+    where both ETags are single-part ones. Of repeated destination keys the largest counts. With `include_extra`, destination keys without a
     source are reported as ``extra``.
     """
     left = source.select(F.col("dest_key").alias("key"), "size", etag_md5("etag").alias("md5"), F.lit(True).alias("_s"))
-    right = dest.select(
-        "key", F.col("size").alias("dest_size"), etag_md5("etag").alias("dest_md5"), F.lit(True).alias("_d")
+    held = dest.groupBy("key").agg(F.max(F.struct("size", "etag")).alias("_o"))
+    right = held.select(
+        "key", F.col("_o.size").alias("dest_size"), etag_md5("_o.etag").alias("dest_md5"), F.lit(True).alias("_d")
     )
     verdict = (
         F.when(F.col("_s").isNull(), "extra")
@@ -101,7 +102,7 @@ def verify_content(objects: DataFrame) -> DataFrame:
 
 def exists_keys(keys: DataFrame, inventory: DataFrame) -> DataFrame:
     """``FOUND`` or ``MISSING`` per key."""
-    held = inventory.select("key", F.lit(True).alias("_held"))
+    held = inventory.select("key", F.lit(True).alias("_held")).distinct()
     status = F.when(F.col("_held"), "FOUND").otherwise("MISSING")
     return keys.select("key").join(held, "key", "left").select("key", status.alias("status"))
 
@@ -112,10 +113,15 @@ def delete_manifest(inventory: DataFrame, prefix: str = "", page_size: int = DEL
     Every page but the last is full. Pages follow the MD5 of the keys, so numbering spreads
     evenly over hash slices whatever the keys look like.
     """
-    keys = inventory.where(F.col("key").startswith(prefix)).select("key").distinct()
+    return sized_manifest(inventory.select("key", F.lit(0).alias("size")), prefix, page_size).select("key", "page")
+
+
+def sized_manifest(inventory: DataFrame, prefix: str = "", page_size: int = DELETE_PAGE) -> DataFrame:
+    """:func:`delete_manifest` with the size of each key, the largest of repeated ones."""
+    keys = inventory.where(F.col("key").startswith(prefix)).groupBy("key").agg(F.max("size").alias("size"))
     sliced = keys.withColumn("_slice", hash_slice("key"))
     numbered = running_total(sliced, [], "_slice", [F.md5("key"), F.col("key")], F.lit(1), "_before")
-    return numbered.select("key", whole_div("_before", F.lit(page_size)).alias("page"))
+    return numbered.select("key", "size", whole_div("_before", F.lit(page_size)).alias("page"))
 
 
 def copy_schedule(plan: DataFrame, lanes: int, bps: int) -> DataFrame:

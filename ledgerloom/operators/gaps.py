@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.checks import batch_start, is_present, whole_div
+from ..functions.checks import is_present, valid_payload, whole_div
 from ..functions.keys import shard_member
 from ..session import materialise
 from .common import broadcast_within, slice_width
+from .ranges import assign_batch
 
 BLOCK = "block.json"
 HEIGHT = ("height",)
+# Archives may begin at one height and end at different ones.
+BATCH = ("batch_start", "batch_end")
 
 
 def present_heights(objects: DataFrame, by: Sequence[str] = HEIGHT) -> DataFrame:
@@ -36,11 +39,12 @@ def missing_shards(expected: DataFrame, objects: DataFrame, by: Sequence[str] =
 
     `expected` holds ``height, shard_id``, `objects` holds ``height, member, size``.
     """
-    blocks = present_heights(objects, by)
-    wanted = expected.join(blocks, list(by), "left_semi").withColumn("member", shard_member("shard_id"))
     files = objects.where((F.col("member") != BLOCK) & is_present("size"))
     found = files.select(*by, "member").distinct()
-    return wanted.join(found, [*by, "member"], "left_anti").drop("member")
+    # Only what no file has, a small rest, meets the present blocks.
+    wanted = expected.withColumn("member", shard_member("shard_id"))
+    absent = wanted.join(found, [*by, "member"], "left_anti").drop("member")
+    return absent.join(present_heights(objects, by), list(by), "left_semi")
 
 
 def first_source(objects: DataFrame, check_overlap: bool = False) -> DataFrame:
@@ -67,6 +71,24 @@ def refetch_set(missing_h: DataFrame, missing_s: DataFrame, by: Sequence[str] =
     return missing_h.select(*by).union(missing_s.select(*by)).distinct()
 
 
+def fit_fallback(fallback: DataFrame, need_block: bool = True) -> DataFrame:
+    """Rows of the heights whose fetched block can be used: some bytes and, where there is a
+    ``payload``, a JSON object with content.
+
+    With `need_block` heights without any block are left out, too.
+    """
+    fit = is_present("size")
+    if "payload" in fallback.columns:
+        fit = fit & F.coalesce(valid_payload(F.col("payload").cast("string")), F.lit(False))
+    blocks = fallback.where(F.col("member") == BLOCK)
+    good = blocks.where(fit).select("height").distinct()
+    rows = fallback.where((F.col("member") != BLOCK) | fit)
+    if need_block:
+        return rows.join(good, "height", "left_semi")
+    unfit = blocks.select("height").distinct().join(good, "height", "left_anti")
+    return rows.join(unfit, "height", "left_anti")
+
+
 def fill_gaps(primary: DataFrame, fallback: DataFrame, wanted: DataFrame, by: Sequence[str] = HEIGHT) -> DataFrame:
     """`primary` with the members of the `wanted` heights taken from `fallback`.
 
@@ -86,14 +108,14 @@ def fallback_missing(wanted: DataFrame, fallback: DataFrame, by: Sequence[str] =
 
 def _batched(df: DataFrame, start: int, size: int) -> DataFrame:
     """Adds the batch by arithmetic unless the rows already say which one they belong to."""
-    return df if "batch_start" in df.columns else df.withColumn("batch_start", batch_start("height", start, size))
+    return df if set(BATCH) <= set(df.columns) else assign_batch(df, start, size)
 
 
 def batch_gaps(missing_h: DataFrame, missing_s: DataFrame, start: int = 0, size: int = 1) -> DataFrame:
     """Missing heights and shards per batch, one row per batch with any."""
-    h = _batched(missing_h, start, size).select("batch_start", F.lit(None).cast("string").alias("shard_id"))
-    s = _batched(missing_s, start, size).select("batch_start", F.col("shard_id").cast("string").alias("shard_id"))
-    return h.unionByName(s).groupBy("batch_start").agg(
+    h = _batched(missing_h, start, size).select(*BATCH, F.lit(None).cast("string").alias("shard_id"))
+    s = _batched(missing_s, start, size).select(*BATCH, F.col("shard_id").cast("string").alias("shard_id"))
+    return h.unionByName(s).groupBy(*BATCH).agg(
         F.count_if(F.col("shard_id").isNull()).alias("n_heights"), F.count("shard_id").alias("n_shards")
     )
 
@@ -103,7 +125,8 @@ def complete_batches(
 ) -> DataFrame:
     """Batches with nothing missing after a re-scan; only these may replace stored ones."""
     gaps = batch_gaps(missing_h, missing_s, start, size)
-    return batches.join(gaps.select("batch_start"), "batch_start", "left_anti")
+    by = [c for c in BATCH if c in batches.columns]
+    return batches.join(gaps.select(*by), by, "left_anti")
 
 
 def problem_report(
@@ -128,13 +151,13 @@ def layout_check(objects: DataFrame, start: int = 0, size: int = 1) -> DataFrame
     ``inconsistent``; ``parent`` is the shared folder, null when there are several.
     """
     present = objects.where((F.col("member") == BLOCK) & is_present("size"))
-    folders = _batched(present, start, size).select("batch_start", "parent").distinct()
+    folders = _batched(present, start, size).select(*BATCH, "parent").distinct()
     one = F.col("folders") == 1
     return (
-        folders.groupBy("batch_start")
+        folders.groupBy(*BATCH)
         .agg(F.count("*").alias("folders"), F.min("parent").alias("_parent"))
         .select(
-            "batch_start",
+            *BATCH,
             "folders",
             F.when(one, F.col("_parent")).alias("parent"),
             F.when(one, "ok").otherwise("inconsistent").alias("verdict"),
@@ -144,7 +167,7 @@ def layout_check(objects: DataFrame, start: int = 0, size: int = 1) -> DataFrame
 
 def fill_totals(events: DataFrame) -> DataFrame:
     """Gaps found, filled and failed per batch."""
-    return events.groupBy("batch_start").agg(
+    return events.groupBy(*BATCH).agg(
         F.count_if(F.col("kind") == "gap_found").alias("found"),
         F.count_if(F.col("kind") == "gap_filled").alias("filled"),
         F.count_if(F.col("kind").isin("gap_fill_failed", "fallback_not_found")).alias("failed"),

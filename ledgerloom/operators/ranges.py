@@ -11,6 +11,10 @@ from ..functions.keys import archive_key, range_name
 from .common import slice_width
 
 
+# Heights a task makes of one row.
+CHUNK = 10_000
+
+
 def assign_batch(df: DataFrame, start: int, size: int) -> DataFrame:
     """Adds ``batch_start, batch_end`` by arithmetic; bins never move with the end of the data."""
     first = batch_start("height", start, size)
@@ -18,8 +22,17 @@ def assign_batch(df: DataFrame, start: int, size: int) -> DataFrame:
 
 
 def batch_heights(batches: DataFrame) -> DataFrame:
-    """Every height of each batch (``batch_start, batch_end``), one row each."""
-    return batches.select("*", F.explode(F.sequence("batch_start", "batch_end")).alias("height"))
+    """Every height of each batch (``batch_start, batch_end``), one row each.
+
+    Batches are cut into chunks that are dealt out first, so a few long batches, or a small
+    table of many, are the work of as many tasks as any shuffle.
+    """
+    partitions = int(batches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    step = F.lit(CHUNK).cast("bigint")
+    chunks = batches.select("*", F.explode(F.sequence("batch_start", "batch_end", step)).alias("_low"))
+    dealt = chunks.repartition(partitions, "batch_start", "batch_end", "_low")
+    high = F.least(F.col("_low") + (CHUNK - 1), F.col("batch_end"))
+    return dealt.select(*batches.columns, F.explode(F.sequence(F.col("_low"), high)).alias("height"))
 
 
 def scope_filter(archives: DataFrame, start: int, stop: int | None) -> DataFrame:

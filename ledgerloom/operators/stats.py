@@ -37,7 +37,7 @@ def size_metrics(df: DataFrame, uncompressed: str = "uncompressed", compressed:
 
 def fetch_stats(source: DataFrame, local: DataFrame) -> DataFrame:
     """Files and bytes fetched and skipped per height; skipped files count their local size."""
-    held = local.where(is_present("size")).select("height", "member", F.col("size").alias("held"))
+    held = local.where(is_present("size")).groupBy("height", "member").agg(F.max("size").alias("held"))
     skip = F.col("held").isNotNull()
     return (
         source.join(held, ["height", "member"], "left")

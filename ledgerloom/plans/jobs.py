@@ -16,12 +16,13 @@ from ..functions.checks import safe_boundary
 from ..functions.keys import below, parse_archives, path_parts, range_name
 from ..operators import copying, gaps, ranges, stats
 from ..operators.common import broadcast_within, of_batches
-from ..session import materialise, scratch_path
+from ..session import discard, materialise, scratch_path
 from ..sinks import batches as sink
 from ..sinks import records, transfer
 from ..sources import inventory, payloads, tar
 
-BY = ("batch_start", "batch_end", "height")
+BATCH = gaps.BATCH
+BY = (*BATCH, "height")
 
 
 def _one(df: DataFrame):
@@ -86,6 +87,9 @@ def archive_job(
     low, high = inventory.height_bounds(pending.select(F.explode(F.array("batch_start", "batch_end")).alias("height")))
     binned = ranges.assign_batch(objects.where(F.col("height").between(low, high)), start_from, size)
     listed = of_batches(binned, pending, ["batch_start"])
+    if fallback is not None:
+        # A fetched height without a block is taken for shards alone; an unusable block is no height.
+        fallback = gaps.fit_fallback(fallback, need_block=False)
     unlisted = materialise(heights.join(listed.select("height").distinct(), "height", "left_anti"), "unlisted")
     empty = gaps.fallback_missing(unlisted, fallback, BY) if fallback is not None else unlisted
     if consecutive_empty:
@@ -108,12 +112,14 @@ def archive_job(
     began = time.monotonic()
     totals = sink.replace_batches(rows, out, codec=codec)
     run_sec = time.monotonic() - began
-    back = sink.read_batches(spark, out, rows.schema)
+    # The bounds leave out the folders of earlier runs.
+    back = sink.read_batches(spark, out, rows.schema).where(F.col("batch_start").between(low, high))
     stored_rows = of_batches(back, pending, ["batch_start"])
     sink.require_totals(stored_rows, totals, out)
     done = materialise(stats.batch_stats(stored_rows, start_from, size), "stats")
     if stats_path and totals["files"]:  # empty batches have no statistics line
-        sizes = sink.batch_inventory(spark, out).select("batch_start", F.col("size").alias("stored_bytes"))
+        listing = sink.batch_inventory(spark, out, between=(low, high))
+        sizes = listing.select("batch_start", F.col("size").alias("stored_bytes"))
         packed = done.join(sizes, "batch_start", "left")
         records.append_stats(records.batch_stats_rows(packed, "stored_bytes", run_sec), stats_path)
     if control_path:
@@ -166,7 +172,7 @@ def stage_job(
     # `local` may be the staging table itself: take its state before anything is appended.
     done = materialise(per_batch, "staged")
     began = time.monotonic()
-    sink.write_heights(copying.to_fetch(chosen, local), out, start_from, size, append=True)
+    sink.merge_heights(copying.to_fetch(chosen, local), out, start_from, size)
     if stats_path:
         lines = done.withColumn("bytes", F.col("bytes_fetched") + F.col("bytes_skipped"))
         run_sec = time.monotonic() - began
@@ -188,39 +194,52 @@ def fix_gaps_job(
     """Fill absent heights of staged batch folders from the fallback.
 
     `folders` holds the folder ``name``, `objects` holds ``batch_start, batch_end, parent,
-    height, member, size``. Filled members are appended to `out`. Returns found, filled and
-    failed per batch; batches with several parent folders are reported and left alone.
+    height, member, size``. Filled members go to `out` in place of those of the same name.
+    Returns found, filled and failed per batch; heights whose fetched block is absent or unusable
+    are failed ones, batches with several parent folders are reported and left alone.
     """
     found = inventory.parse_batch_paths(folders).select(
         F.col("first").alias("batch_start"), F.col("last").alias("batch_end")
     )
     layout = materialise(gaps.layout_check(objects), "layout")
-    mixed = layout.where("verdict = 'inconsistent'").select("batch_start")
-    sound = found.join(mixed, "batch_start", "left_anti")
+    mixed = layout.where("verdict = 'inconsistent'").select(*BATCH)
+    sound = found.join(mixed, list(BATCH), "left_anti")
     lost = gaps.missing_heights(ranges.batch_heights(sound), objects, BY)
-    lost = materialise(lost.join(layout.select("batch_start", "parent"), "batch_start", "left"), "lost")
+    lost = materialise(lost.join(layout.select(*BATCH, "parent"), list(BATCH), "left"), "lost")
+    fit = gaps.fit_fallback(fallback)
     absent = gaps.fallback_missing(lost, fallback, (*BY, "parent"))
-    got = lost.join(fallback.select("height").distinct(), "height", "left_semi")
+    got = lost.join(fit.select("height").distinct(), "height", "left_semi")
+    unfit = _unfit(lost, fallback, fit)
     parts = [
         records.gap_events(lost, "gap_found", dry_run=F.lit(True if dry_run else None)),
         records.event(
-            found.join(mixed, "batch_start", "left_semi"), "archive_problem", error=F.lit("inconsistent path layout")
+            found.join(mixed, list(BATCH), "left_semi"), "archive_problem", error=F.lit("inconsistent path layout")
         ),
     ]
     if not dry_run:
         parts += [
             records.gap_events(got, "gap_filled", base_url, api_key),
             records.gap_events(absent, "fallback_not_found", base_url, api_key),
+            records.event(unfit, "gap_fill_failed", error=F.lit(UNFIT)),
         ]
         if out:
-            fetched = fallback.join(lost.fillna("", ["parent"]), "height")
-            sink.write_heights(fetched, out, append=True)
+            fetched = fit.join(lost.fillna("", ["parent"]), "height")
+            sink.merge_heights(fetched, out)
     events = records.audit_events(parts)
     if events_path:
         records.append_lines(events, events_path)
     return gaps.fill_totals(events)
 
 
+UNFIT = "fetched block is absent, empty or no JSON object"
+
+
+def _unfit(wanted: DataFrame, fallback: DataFrame, fit: DataFrame) -> DataFrame:
+    """Wanted heights that the fallback knows, but has no usable block of."""
+    known = wanted.join(fallback.select("height").distinct(), "height", "left_semi")
+    return known.join(fit.select("height").distinct(), "height", "left_anti")
+
+
 def import_job(spark: SparkSession, folder: str, out: str, prefix: str | None = "archives") -> DataFrame:
     """Bring existing tar archives below `folder` into a batch table for the audit.
 
@@ -252,7 +271,7 @@ def import_job(spark: SparkSession, folder: str, out: str, prefix: str | None =
     totals = sink.replace_batches(rows, out)
     sink.require_totals(of_batches(sink.read_batches(spark, out, rows.schema), found), totals, out)
     failed = members.where("error is not null").join(found, "archive")
-    return materialise(failed.select("batch_start", "error"), "failed")
+    return materialise(failed.select("batch_start", "batch_end", "error"), "failed")
 
 
 def audit_repair_job(
@@ -285,7 +304,10 @@ def audit_repair_job(
         ),
         "archives",
     )
-    members = of_batches(objects, archives).where(F.col("height").between(F.col("batch_start"), F.col("batch_end")))
+    # Rows outside the range of their archive are not judged, but stay with it when it is rewritten.
+    inside = F.col("height").between(F.col("batch_start"), F.col("batch_end"))
+    whole = of_batches(objects, archives)
+    members = whole.where(inside)
     heads = members.where((F.col("member") == gaps.BLOCK) & (F.col("size") > 0))
     checked = materialise(payloads.read_headers(heads.select(*BY, "payload"), BY), "headers")
 
@@ -293,19 +315,19 @@ def audit_repair_job(
     layout = materialise(gaps.layout_check(members), "layout")
     errors = [
         layout.where("verdict = 'inconsistent'").select(
-            "batch_start", F.lit("scan layout: several parent folders").alias("error")
-        ),
-        checked.where("error is not null").select(
-            "batch_start", F.concat(F.lit("shard scan: "), "error").alias("error")
+            *BATCH, F.lit("scan layout: several parent folders").alias("error")
         ),
+        checked.where("error is not null").select(*BATCH, F.concat(F.lit("shard scan: "), "error").alias("error")),
     ]
     if unreadable is not None:
-        errors.append(unreadable.select("batch_start", "error"))
+        if "batch_end" not in unreadable.columns:  # all archives that begin there
+            unreadable = unreadable.join(archives.select(*BATCH), "batch_start")
+        errors.append(unreadable.select(*BATCH, "error"))
     bad = errors[0]
     for more in errors[1:]:
         bad = bad.unionByName(more)
-    bad = materialise(bad.groupBy("batch_start").agg(F.min("error").alias("error")), "unusable")
-    sound = archives.join(bad, "batch_start", "left_anti")
+    bad = materialise(bad.groupBy(*BATCH).agg(F.min("error").alias("error")), "unusable")
+    sound = archives.join(bad, list(BATCH), "left_anti")
 
     slim = members.select(*BY, "member", "size")
     expected = payloads.shards_of(checked, BY).join(sound, ["batch_start", "batch_end"], "left_semi")
@@ -313,56 +335,60 @@ def audit_repair_job(
     lost_h = materialise(gaps.missing_heights(domain, slim, BY), "missing-heights")
     lost_s = materialise(gaps.missing_shards(expected, slim, BY), "missing-shards")
     report = gaps.problem_report(lost_h, lost_s, by=BY)
-    named = archives.select("archive_key", "batch_start")
+    named = archives.select("archive_key", *BATCH)
     dry = F.lit(True if dry_run else None)
     events = [
-        records.event(report.join(named, "batch_start"), "archive_problem", dry_run=dry),
-        records.event(archives.join(bad, "batch_start"), "archive_problem", dry_run=dry),
-        records.event(archives.join(bad, "batch_start"), "archive_repair_failed"),
+        records.event(report.join(named, list(BATCH)), "archive_problem", dry_run=dry),
+        records.event(archives.join(bad, list(BATCH)), "archive_problem", dry_run=dry),
+        records.event(archives.join(bad, list(BATCH)), "archive_repair_failed"),
     ]
     done = still = None
     if not dry_run:
         wanted = materialise(gaps.refetch_set(lost_h, lost_s, BY), "wanted")
+        fit = gaps.fit_fallback(fallback)
         absent = gaps.fallback_missing(wanted, fallback, BY)
+        unfit = _unfit(wanted, fallback, fit)
         touched = materialise(wanted.select("batch_start", "batch_end").distinct(), "touched")
         # Only partitions of broken batches are read with their payload.
-        broken = of_batches(members, touched)
+        broken = of_batches(whole, touched)
         staging = scratch_path(spark, "repaired")
         # Fetched members go to the folder the batch uses.
-        placed = wanted.join(layout.select("batch_start", "parent"), "batch_start", "left").fillna("", ["parent"])
-        filled = gaps.fill_gaps(broken, fallback, placed, BY)
+        placed = wanted.join(layout.select(*BATCH, "parent"), list(BATCH), "left").fillna("", ["parent"])
+        filled = gaps.fill_gaps(broken, fit, placed, BY)
         sink.write_batches(filled, staging)
         fixed = sink.read_batches(spark, staging, filled.schema)
-        heads = fixed.where((F.col("member") == gaps.BLOCK) & (F.col("size") > 0))
+        heads = fixed.where(inside & (F.col("member") == gaps.BLOCK) & (F.col("size") > 0))
         again = payloads.read_headers(heads.select(*BY, "payload"), BY)
-        slim = fixed.select(*BY, "member", "size")
+        slim = fixed.where(inside).select(*BY, "member", "size")
         still_h = gaps.missing_heights(ranges.batch_heights(touched), slim, BY)
         still_s = gaps.missing_shards(payloads.shards_of(again, BY), slim, BY)
         # A fetched block that cannot be read keeps its batch incomplete, too.
         broken_h = again.where("error is not null").select(*BY)
         still = materialise(gaps.problem_report(still_h.select(*BY).union(broken_h), still_s, by=BY), "still-missing")
         done = materialise(
-            touched.join(still.select("batch_start").distinct(), "batch_start", "left_anti"), "complete"
+            touched.join(still.select(*BATCH).distinct(), list(BATCH), "left_anti"), "complete"
         )
         if path:
             ready = of_batches(fixed, done)
             totals = sink.replace_batches(ready, path)
             sink.require_totals(of_batches(sink.read_batches(spark, path, ready.schema), done), totals, path)
+        discard(spark, staging)
         reason = F.lit("gaps remain after refetch; archive not replaced")
         events += [
-            records.gap_events(absent.join(named, "batch_start"), "fallback_not_found", base_url),
-            records.event(still.join(named, "batch_start"), "archive_repair_skipped_incomplete", reason=reason),
-            records.event(archives.join(done.select("batch_start"), "batch_start", "left_semi"), "archive_repaired"),
+            records.gap_events(absent.join(named, list(BATCH)), "fallback_not_found", base_url),
+            records.event(unfit.join(named, list(BATCH)), "gap_fill_failed", error=F.lit(UNFIT)),
+            records.event(still.join(named, list(BATCH)), "archive_repair_skipped_incomplete", reason=reason),
+            records.event(archives.join(done, list(BATCH), "left_semi"), "archive_repaired"),
         ]
     if events_path:
         records.append_lines(records.audit_events(events), events_path)
 
-    summary = archives.join(gaps.batch_gaps(lost_h, lost_s), "batch_start", "left").join(bad, "batch_start", "left")
+    summary = archives.join(gaps.batch_gaps(lost_h, lost_s), list(BATCH), "left").join(bad, list(BATCH), "left")
     status = F.when(F.col("error").isNotNull(), "unreadable").when(F.col("n_heights").isNull(), "ok")
     if dry_run:
         status = status.otherwise("problem")
     else:
-        summary = summary.join(done.select("batch_start", F.lit(True).alias("_done")), "batch_start", "left")
+        summary = summary.join(done.select(*BATCH, F.lit(True).alias("_done")), list(BATCH), "left")
         status = status.when(F.col("_done"), "repaired").otherwise("incomplete")
     zero = F.lit(0).cast("bigint")
     return summary.select(
@@ -443,7 +469,8 @@ def copy_job(
         dest = materialise(dest, "dest")  # its state before the copy
         sent = materialise(transfer.copy_objects(plan, *roots), "sent")
         arrived = sent.where("verdict = 'ok'").select(F.col("dest_key").alias("key"), "size", F.col("md5").alias("etag"))
-        kept = dest.join(arrived.select("key"), "key", "left_anti").select("key", "size", "etag")
+        # What a failed copy left is not the object, nor is the one it was to overwrite.
+        kept = dest.join(sent.select(F.col("dest_key").alias("key")), "key", "left_anti").select("key", "size", "etag")
         after = kept.unionByName(arrived)
     counters = copying.copy_counters(source, dest, source_prefix, dest_prefix, overwrite, copy_all_under_prefix)
     whole = copying.copy_plan(source, dest, source_prefix, dest_prefix, True, copy_all_under_prefix)
@@ -460,10 +487,5 @@ def exists_job(keys: DataFrame, stored: DataFrame) -> DataFrame:
 
 def purge_plan_job(stored: DataFrame, prefix: str = "", page_size: int = copying.DELETE_PAGE) -> DataFrame:
     """Delete requests that would empty `prefix`: keys and bytes per page. Nothing is deleted."""
-    pages = copying.delete_manifest(stored, prefix, page_size)
-    sizes = stored.groupBy("key").agg(F.max("size").alias("size"))
-    return (
-        pages.join(sizes, "key")
-        .groupBy("page")
-        .agg(F.count("*").alias("objects"), F.sum("size").alias("bytes"))
-    )
+    pages = copying.sized_manifest(stored, prefix, page_size)
+    return pages.groupBy("page").agg(F.count("*").alias("objects"), F.sum("size").alias("bytes"))

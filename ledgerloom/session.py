@@ -21,8 +21,6 @@ SQL_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Compaction uses REBALANCE; a hot batch is cut into several files.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Repair replaces single batches.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -75,9 +73,10 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may go without it; it then gets a temporary folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
+    local = spark.sparkContext.master.startswith("local")
+    if configured and (local or not qualified(spark, configured).startswith("file:")):
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_folder(spark.sparkContext.applicationId)
 
@@ -92,6 +91,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """Path and file system of a location in any store that Spark reads."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    found, store = _hadoop_path(spark, path)
+    return store.exists(found)
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """`folder` with the scheme and store Spark resolves it to, so that tasks open the same one."""
+    found, store = _hadoop_path(spark, folder.rstrip("/"))
+    full = store.makeQualified(found).toString()
+    return full if full.startswith("file://") or not full.startswith("file:") else "file://" + full.removeprefix("file:")
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that nothing reads any more."""
+    if not path.startswith(shared_dir(spark)):
+        raise ValueError(f"{path} is not below the shared folder")
+    found, store = _hadoop_path(spark, path)
+    store.delete(found, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder once and read it back, where several steps need it."""
     path = scratch_path(df.sparkSession, name)

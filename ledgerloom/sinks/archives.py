@@ -12,7 +12,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..files import filesystem, qualified
+from ..files import filesystem
+from ..session import qualified
 from ..functions.keys import archive_key, height_key
 from ..operators.ranges import assign_batch
 from ..session import ship_package

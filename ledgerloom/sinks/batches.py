@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.keys import archive_key
+from ..operators.common import of_batches
 from ..operators.ranges import assign_batch
+from ..session import exists, materialise
 
 PARTITION = ["batch_start", "batch_end"]
 
@@ -80,6 +82,21 @@ def write_heights(df: DataFrame, path: str, start: int = 0, size: int = 1, appen
     return _write(balanced(_binned(df, start, size)), path, "append" if append else "static", "none")
 
 
+def merge_heights(df: DataFrame, path: str, start: int = 0, size: int = 1) -> dict:
+    """Add rows to an uncompressed batch table in place of those of the same height and member.
+
+    The batches concerned are put together beside the table first, then replaced.
+    """
+    spark = df.sparkSession
+    rows = materialise(_binned(df, start, size), "merged")
+    if exists(spark, path):
+        touched = rows.select(*PARTITION).distinct()
+        old = of_batches(read_batches(spark, path, rows.schema), touched)
+        kept = old.join(rows.select(*PARTITION, "height", "member").distinct(), [*PARTITION, "height", "member"], "left_anti")
+        rows = materialise(kept.unionByName(rows), "merged")
+    return _write(balanced(rows), path, "dynamic", "none")
+
+
 def read_batches(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Written batches. Filters on ``batch_start`` and ``batch_end`` prune folders.
 
@@ -90,13 +107,21 @@ def read_batches(spark: SparkSession, path: str, schema: StructType | None = Non
     return rows.select(*kept, *(F.col(c).cast("bigint").alias(c) for c in PARTITION))
 
 
-def batch_inventory(spark: SparkSession, path: str, prefix: str = "archives", codec: str = "zstd") -> DataFrame:
+def batch_inventory(
+    spark: SparkSession,
+    path: str,
+    prefix: str = "archives",
+    codec: str = "zstd",
+    between: tuple[int, int] | None = None,
+) -> DataFrame:
     """A batch table as an archive inventory: ``key, size, batch_start, batch_end``.
 
     Made from the file listing alone, so that stored batches can be validated, or left out of
-    the pending ones, like archives.
+    the pending ones, like archives. `between` bounds the batch starts.
     """
     files = spark.read.format("binaryFile").load(path)
+    if between:
+        files = files.where(F.col("batch_start").between(*between))
     folders = [F.col(c).cast("bigint").alias(c) for c in PARTITION]
     return files.groupBy(*folders).agg(F.sum("length").alias("size")).select(
         archive_key("batch_start", "batch_end", prefix, codec).alias("key"), "size", *PARTITION
@@ -117,7 +142,7 @@ def require_totals(stored: DataFrame, totals: dict, path: str) -> None:
 
 
 def _fingerprint(df: DataFrame) -> DataFrame:
-    return df.groupBy("batch_start").agg(*(c.alias(name) for name, c in _totals(df).items()))
+    return df.groupBy(*PARTITION).agg(*(c.alias(name) for name, c in _totals(df).items()))
 
 
 def verify_batches(source: DataFrame, path: str, start: int, size: int) -> DataFrame:
@@ -130,11 +155,11 @@ def verify_batches(source: DataFrame, path: str, start: int, size: int) -> DataF
         & F.col("digest").eqNullSafe(F.col("stored_digest"))
     )
     stored = stored.select(
-        "batch_start",
+        *PARTITION,
         F.col("files").alias("stored_files"),
         F.col("bytes").alias("stored_bytes"),
         F.col("digest").alias("stored_digest"),
     )
-    return wanted.join(stored, "batch_start", "full").select(
-        "batch_start", "files", "bytes", "stored_files", "stored_bytes", same.alias("ok")
+    return wanted.join(stored, PARTITION, "full").select(
+        *PARTITION, "files", "bytes", "stored_files", "stored_bytes", same.alias("ok")
     )

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..files import filesystem, qualified
+from ..files import filesystem
+from ..session import qualified
 from ..functions.keys import etag_md5
 from ..session import ship_package
 

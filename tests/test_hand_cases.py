@@ -318,7 +318,7 @@ def test_fill_replaces_by_name_and_keeps_the_rest(spark):
 def test_layout(spark):
     rows = [("a", 1, "block.json", 1), ("b", 2, "block.json", 1), ("b", 3, "block.json", 0), ("a", 11, "block.json", 1)]
     df = spark.createDataFrame(rows, "parent string, height bigint, member string, size bigint")
-    assert values(gaps.layout_check(df, 0, 10)) == [(0, 2, None, "inconsistent"), (10, 1, "a", "ok")]
+    assert values(gaps.layout_check(df, 0, 10)) == [(0, 9, 2, None, "inconsistent"), (10, 19, 1, "a", "ok")]
 
 
 def test_run_across_slice_edges(spark, monkeypatch):

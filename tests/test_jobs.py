@@ -21,7 +21,7 @@ def objects(spark, rows):
 
 
 def listing(spark, heights, priority=1):
-    return [(f"s{priority}", priority, h, "block.json", 2, "{}") for h in heights]
+    return [(f"s{priority}", priority, h, "block.json", 2, '{"chunks":[]}') for h in heights]
 
 
 def rows(df, *columns):
@@ -119,10 +119,10 @@ def test_fix_gaps_job(spark):
     have = [(0, 4, "p", h, "block.json", 1, "{}") for h in (0, 1, 3)]
     have += [(5, 9, "p" if h % 2 else "q", h, "block.json", 1, "{}") for h in (5, 6, 7)]
     members = spark.createDataFrame(have, BATCHED)
-    fallback = objects(spark, [("f", 3, h, m, 1, "{}") for h in (2, 11) for m in ("block.json", "shard_0.json")])
+    fallback = objects(spark, [("f", 3, h, m, 1, '{"a":1}') for h in (2, 11) for m in ("block.json", "shard_0.json")])
     arguments = dict(base_url="https://api.example.org/b", events_path=f"{folder}/events")
     totals = jobs.fix_gaps_job(names, members, fallback, f"{folder}/out", **arguments)
-    assert rows(totals.where("found > 0")) == [(0, 2, 1, 1), (10, 2, 1, 1)]
+    assert rows(totals.where("found > 0")) == [(0, 4, 2, 1, 1), (10, 11, 2, 1, 1)]
     filled = sink.read_batches(spark, f"{folder}/out")
     assert rows(filled, "height", "parent", "member") == [
         (2, "p", "block.json"), (2, "p", "shard_0.json"), (11, "", "block.json"), (11, "", "shard_0.json"),
@@ -134,7 +134,7 @@ def test_fix_gaps_job(spark):
         ("batch_0_4/p/000000000002",), ("batch_10_11/000000000011",),
     ]
     dry = jobs.fix_gaps_job(names, members, fallback, dry_run=True, events_path=f"{folder}/dry")
-    assert rows(dry.where("found > 0")) == [(0, 2, 0, 0), (10, 2, 0, 0)]
+    assert rows(dry.where("found > 0")) == [(0, 4, 2, 0, 0), (10, 11, 2, 0, 0)]
     assert set(rows(spark.read.json(f"{folder}/dry").where("kind = 'gap_found'"), "dry_run")) == {(True,)}
 
 

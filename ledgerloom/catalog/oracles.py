@@ -77,9 +77,11 @@ VIEWS = {
     "fx_wanted": "select height from fx_miss_h union select height from fx_miss_s",
     "fx_fetched": "select * from fx_fallback where height in (select height from fx_wanted)",
     "fx_filled": """
-        select * from fx_primary p where not exists
-          (select 1 from fx_fetched f where f.height = p.height and f.member = p.member)
-        union all select * from fx_fetched""",
+        select p.height, p.member, p.size from fx_primary p
+        left join (select distinct height as got_height, member as got_member from fx_fetched) f
+          on p.height = f.got_height and p.member = f.got_member
+        where f.got_height is null
+        union all select height, member, size from fx_fetched""",
     "fx_after_h": "select height from fx_domain where height not in (select height from fx_filled where member = 'block.json' and size > 0)",
     "fx_after_s": """
         select height, shard_id from fx_wanted_shard w
@@ -91,6 +93,8 @@ VIEWS = {
         from events group by 1, 2
         having event_id // 1000 * 1000 + 1000 + 100 <= (select max(event_id) from events)""",
 }
+# Views that others use several times.
+SHARED = {"fx_shard", "fx_primary", "fx_wanted", "fx_fetched", "fx_filled"}
 _SEALED = "select batch_start, batch_end, dirs from fx_sealed"
 _COMPACT = "select height // 1000 * 1000 as batch_start, count(*) as files, cast(sum(size) as bigint) as bytes from fx_sources group by 1"
 
@@ -412,7 +416,7 @@ def _needed(sql: str) -> list[str]:
 def statement(name: str) -> str:
     """The whole SQL of a query, its views as common table expressions."""
     sql = ORACLES[name]
-    views = ",\n".join(f"{view} as ({VIEWS[view]})" for view in _needed(sql))
+    views = ",\n".join(f"{view} as {'materialized ' * (view in SHARED)}({VIEWS[view]})" for view in _needed(sql))
     return f"with {views}\nselect * from ({sql})" if views else sql
 
 

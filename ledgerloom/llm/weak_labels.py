@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -168,22 +169,23 @@ def estimate(counts: dict[int, int], labellers: int, rounds: int = 100) -> tuple
 
 
 def train(
-    rows: list[np.ndarray], targets: np.ndarray, penalty: float = 1e-3, rounds: int = 2000
+    features: np.ndarray, lengths: np.ndarray, targets: np.ndarray, penalty: float = 1e-3, rounds: int = 2000
 ) -> tuple[dict[int, float], float]:
     """Weights of hashed features, and the bias, of an L1-penalised logistic model with soft targets.
 
+    `features` holds those of all rows behind one another, `lengths` how many each row has.
     Weights are not negative: a trait can only speak for "bad", so that traits of a long text
     don't outvote it. Features whose gradient at the start is below the penalty stay out.
     """
-    if not len(rows) or targets.max(initial=0) < 0.5:
+    n = len(lengths)
+    if not n or targets.max(initial=0) < 0.5:
         return {}, -10.0
-    n = len(rows)
     # Classes weigh the same, so that a rare class is not outvoted.
     bad = np.clip(targets.mean(), 1e-3, 1 - 1e-3)
     weights = (targets / bad + (1 - targets) / (1 - bad)) / (2 * n)
     ideal = targets / bad / (2 * n) / weights  # the soft target under these weights
-    names, columns = np.unique(np.concatenate(rows), return_inverse=True)
-    of = np.repeat(np.arange(n), [len(r) for r in rows])
+    names, columns = np.unique(features, return_inverse=True)
+    of = np.repeat(np.arange(n, dtype=np.int32), lengths)
     pull = np.bincount(columns, weights=(weights * (ideal - 0.5))[of], minlength=len(names))
     usable = (pull > penalty)[columns]
     of, columns = of[usable], columns[usable]
@@ -206,7 +208,10 @@ def train(
             momentum = faster = 1.0  # momentum leads uphill; start it anew
         ahead = new + (momentum - 1) / faster * (new - theta)
         ahead_bias = new_bias + (momentum - 1) / faster * (new_bias - bias)
+        settled = max(np.abs(new - theta).max(initial=0), abs(new_bias - bias)) < 1e-6
         theta, bias, momentum = new, new_bias, faster
+        if settled:
+            break
     kept = np.flatnonzero(theta)
     return dict(zip(names[kept].tolist(), theta[kept].tolist(), strict=True)), float(bias)
 
@@ -356,11 +361,13 @@ def fit(
     more = _sample(rows, rows.where("doc_id is not null").select("doc_id"), others)
     training = _voted(sample.select("doc_id", "text").unionAll(more), lexicon, marked, True)
     known = _with_labels(training, given).toArrow()  # a bounded sample
-    features = [np.array(x, np.int64) for x in known.column("features").to_pylist()]
+    column = known.column("features").combine_chunks()
+    features = column.flatten().to_numpy()
+    lengths = pc.list_value_length(column).to_numpy()
     learned, biases = {}, []
     for k, task in enumerate(TASKS):
         targets = np.array([posteriors[task].get(p, 0.0) for p in known.column(task).to_pylist()])
-        weights, bias = train(features, targets)
+        weights, bias = train(features, lengths, targets)
         biases.append(bias)
         for feature, weight in weights.items():
             pair = learned.setdefault(feature, [0.0, 0.0])

@@ -169,7 +169,7 @@ def estimate(counts: dict[int, int], labellers: int, rounds: int = 100) -> tuple
 
 
 def train(
-    features: np.ndarray, lengths: np.ndarray, targets: np.ndarray, penalty: float = 1e-3, rounds: int = 2000
+    features: np.ndarray, lengths: np.ndarray, targets: np.ndarray, penalty: float = 1e-3, rounds: int = 1000, seen: int = 4
 ) -> tuple[dict[int, float], float]:
     """Weights of hashed features, and the bias, of an L1-penalised logistic model with soft targets.
 
@@ -184,8 +184,13 @@ def train(
     bad = np.clip(targets.mean(), 1e-3, 1 - 1e-3)
     weights = (targets / bad + (1 - targets) / (1 - bad)) / (2 * n)
     ideal = targets / bad / (2 * n) / weights  # the soft target under these weights
-    names, columns = np.unique(features, return_inverse=True)
-    of = np.repeat(np.arange(n, dtype=np.int32), lengths)
+    # Features seen a few times, found without an inverse of all of them, which is several times as large.
+    names, counts = np.unique(features, return_counts=True)
+    names = names[counts >= seen]
+    columns = np.searchsorted(names, features).astype(np.int32)
+    known = columns < len(names)
+    known[known] = names[columns[known]] == features[known]
+    of, columns = np.repeat(np.arange(n, dtype=np.int32), lengths)[known], columns[known]
     pull = np.bincount(columns, weights=(weights * (ideal - 0.5))[of], minlength=len(names))
     usable = (pull > penalty)[columns]
     of, columns = of[usable], columns[usable]

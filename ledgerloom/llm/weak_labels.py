@@ -48,6 +48,9 @@ _MARKED = re.compile(r"\w[^\w\s]{2,}(?=\s|$)")
 _BARE = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")
 THRESHOLDS = (0.0, 0.01, 0.02, 0.05, 0.1, 0.2, 0.5)
 
+# What is known of labellers beforehand counts as so many documents, whatever the corpus.
+PRIOR_VOTES = 1000.0
+
 VOTES = "doc_id bigint, low int, toxic int"
 FEATURES = "doc_id bigint, low int, toxic int, features array<int>"
 SCORES = "doc_id bigint, p_low double, p_toxic double"
@@ -134,13 +137,20 @@ def unpacked(pattern: int, labellers: int) -> list[int]:
     return [pattern // 3**k % 3 for k in range(labellers)]
 
 
-def estimate(counts: dict[int, int], labellers: int, rounds: int = 100) -> tuple[dict[int, float], np.ndarray]:
+def estimate(
+    counts: dict[int, int], labellers: int, rounds: int = 100, prior_votes: float = PRIOR_VOTES
+) -> tuple[dict[int, float], np.ndarray]:
     """Posterior of "bad" per pattern, and each labeller's vote shares per class (good, bad).
 
-    The start takes any vote for "bad" as likely right. Prior votes say what labellers are
+    The start takes given labels, or else any vote for "bad", as likely right. Prior votes say what labellers are
     for: they seldom call a good document bad, each finds some of the bad ones, and the last,
     the given labels, is seldom wrong. Without them a large kind of junk would be taken for the
     class, and the labeller of another kind for a bad one.
+
+    There are `prior_votes` of them for good documents and up to a quarter of that for bad ones,
+    however large the corpus. Labelled documents count in full, so that they correct any
+    labeller. Others together weigh at most a quarter of the prior votes and the labelled
+    documents, or they would outvote both in a large corpus; each pattern keeps its share.
     """
     patterns = np.array([unpacked(p, labellers) for p in counts], int).reshape(-1, labellers)
     weights = np.array(list(counts.values()), float)
@@ -148,13 +158,17 @@ def estimate(counts: dict[int, int], labellers: int, rounds: int = 100) -> tuple
     shares = np.full((labellers, 2, 3), 1 / 3)
     if not (patterns == BAD).any():
         return dict.fromkeys(counts, 0.0), shares
+    gold = patterns[:, -1] != ABSTAIN
+    bad[gold] = np.where(patterns[gold, -1] == BAD, 0.9, 0.1)
+    most = (prior_votes + weights[gold].sum()) / 4
+    weights = np.where(gold, weights, weights * min(1.0, most / max(weights[~gold].sum(), 1)))
     one_sided = ~(patterns == GOOD).any(axis=0)[:, None, None]
     prior = np.where(one_sided, [[1.0, 0.0, 0.0], [0.7, 0.0, 0.3]], [[0.5, 0.5, 0.0], [0.4, 0.1, 0.5]])
     prior[-1] = [[0.7, 0.3, 0.0], [0.7, 0.0, 0.3]]
     for _ in range(rounds):
         sizes = np.array([weights @ (1 - bad), weights @ bad])
         for k in range(labellers):
-            strength = np.array([4 * weights.sum(), sizes[1]])
+            strength = np.array([prior_votes, min(prior_votes / 4, sizes[1])])
             for vote in (ABSTAIN, GOOD, BAD):
                 cast = weights * (patterns[:, k] == vote)
                 seen = np.array([cast @ (1 - bad), cast @ bad])
@@ -343,8 +357,12 @@ def fit(
     others: int = 3000,
     id_col: str = "doc_id",
     text_col: str = "text",
+    prior_votes: float = PRIOR_VOTES,
 ) -> Classifier:
-    """Fit on `docs`; `labels` has ``doc_id, quality`` (0 is low) and ``toxic`` (0 or 1)."""
+    """Fit on `docs`; `labels` has ``doc_id, quality`` (0 is low) and ``toxic`` (0 or 1).
+
+    `prior_votes` is the weight of what is known of labellers beforehand, see :func:`estimate`.
+    """
     rows = text_columns(docs, id_col, text_col)
     given = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         F.max(1 - F.col("quality")).cast("int").alias("gold_low"), F.max("toxic").cast("int").alias("gold_toxic")
@@ -361,7 +379,7 @@ def fit(
         counts: dict[int, int] = {}
         for row in counted:
             counts[row[task]] = counts.get(row[task], 0) + row["count"]
-        posteriors[task], shares[task] = estimate(counts, labellers)
+        posteriors[task], shares[task] = estimate(counts, labellers, prior_votes=prior_votes)
 
     more = _sample(rows, rows.where("doc_id is not null").select("doc_id"), others)
     training = _voted(sample.select("doc_id", "text").unionAll(more), lexicon, marked, True)

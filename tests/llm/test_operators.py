@@ -380,6 +380,35 @@ def test_votes_and_estimates():
     assert weak_labels.estimate({0: 5}, 4)[0] == {0: 0.0}
 
 
+def votes_of(documents, labelled, misfires):
+    """Votes of three labellers of one kind of junk each, one that fires on clean documents, and given labels."""
+    rng = np.random.default_rng(15)
+    kinds = rng.choice(4, documents, p=[0.95, 0.03, 0.015, 0.005])
+    fired = [np.where((kinds == k) & (rng.random(documents) < 0.8), 2, 0) for k in (1, 2, 3)]
+    fired.append(np.where((kinds == 0) & (rng.random(documents) < misfires), 2, 0))
+    fired.append(np.where(rng.random(documents) < labelled, np.where(kinds > 0, 2, 1), 0))
+    patterns, counts = np.unique(sum(v * 3**k for k, v in enumerate(fired)), return_counts=True)
+    return dict(zip(patterns.tolist(), counts.tolist(), strict=True))
+
+
+@pytest.mark.parametrize("documents, labelled", [(10_000, 0.4), (1_000_000, 0.006), (1_000_000, 0.4)])
+@pytest.mark.parametrize("misfires", [0.1, 0.35])
+def test_labels_correct_a_labeller(documents, labelled, misfires):
+    posteriors, shares = weak_labels.estimate(votes_of(documents, labelled, misfires), 5)
+    assert 0.75 * misfires < shares[3, 0, 2] < 1.1 * misfires
+    assert posteriors[weak_labels.packed([0, 0, 0, 2, 0])] < 0.1
+    for k in range(3):
+        assert posteriors[weak_labels.packed([2 * (j == k) for j in range(5)])] > 0.9
+    assert posteriors[0] < 0.1
+
+
+@pytest.mark.parametrize("documents", [3_000, 1_000_000])
+def test_kinds_of_junk_without_labels(documents):
+    posteriors, _ = weak_labels.estimate(votes_of(documents, 0, 0), 5)
+    assert all(posteriors[weak_labels.packed([2 * (j == k) for j in range(5)])] > 0.5 for k in range(3))
+    assert posteriors[0] < 0.1
+
+
 def test_classifier(spark):
     random.seed(14)
     prose = lambda n: " ".join(random.choice("ka lo mi ne su ra to vi".split()) + random.choice("na re si tu".split()) for _ in range(n))

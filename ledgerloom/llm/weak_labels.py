@@ -20,6 +20,7 @@ are left out elsewhere. Empty tables give empty results.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -51,8 +52,13 @@ THRESHOLDS = (0.0, 0.01, 0.02, 0.05, 0.1, 0.2, 0.5)
 # What is known of labellers beforehand counts as so many documents, whatever the corpus.
 PRIOR_VOTES = 1000.0
 
+# Hits by chance: one is assumed in so many words beside those of the labelled clean texts, and
+# a text must exceed the mean of its length by so many standard deviations.
+UNSEEN_WORDS = 100_000
+DEVIATIONS = 4.0
+
 VOTES = "doc_id bigint, low int, toxic int"
-FEATURES = "doc_id bigint, low int, toxic int, features array<int>"
+FEATURES = "doc_id bigint, low int, toxic int, features array<int>, size bigint"
 SCORES = "doc_id bigint, p_low double, p_toxic double"
 
 
@@ -102,29 +108,54 @@ def word_features(word: str) -> tuple[int, ...]:
     return tuple(map(feature_hash, [word, *(f"{stem}*" for stem in stems(word))]))
 
 
+STYLE_NAMES = [f"{k} > {limit}" for k in ("marked", "bare", "caps", "runs", "pairs", "repeated") for limit in THRESHOLDS]
+
+
 def style_features(shares: dict[str, float]) -> list[int]:
     return [feature_hash(f"{k} > {limit}") for k, share in shares.items() for limit in THRESHOLDS if share > limit]
 
 
-def distinct_words(text: str) -> set[str]:
-    return set(_WORD.findall(text.lower()))
+def words_of(text: str) -> tuple[set[str], int]:
+    """The distinct words of a text, and how many words it has in all."""
+    words = _WORD.findall(text.lower())
+    return set(words), len(words)
+
+
+@dataclass(frozen=True)
+class Lists:
+    """Words and stems that mark toxic texts, and how many hits a word of a clean text gives by chance.
+
+    `chance` is for the insults, the words and the stems.
+    """
+
+    words: frozenset[str] = frozenset()
+    stems: frozenset[str] = frozenset()
+    chance: tuple[float, float, float] = (1 / UNSEEN_WORDS,) * 3
+
 
+def by_chance(mean: float, variance: float) -> float:
+    """What chance alone seldom exceeds."""
+    return mean + DEVIATIONS * math.sqrt(variance)
 
-def toxic_votes(words: set[str], lexicon: frozenset[str], marked: frozenset[str]) -> list[int]:
+
+def toxic_votes(words: set[str], size: int, lists: Lists) -> list[int]:
     """By the fixed list, and by the words and the stems that mark labelled texts.
 
-    One marked word may be chance, so these two call a text toxic from the second on.
+    A text of `size` words is toxic where it has more hits than chance gives to a clean one of
+    that size. One marked word may be chance in any text, so the latter two take two at least.
     """
-    by_word = len(words & lexicon)
-    by_stem = sum(not marked.isdisjoint(stems(w)) for w in words) if marked else 0
+    by_list = len(words & INSULTS)
+    by_word = len(words & lists.words)
+    by_stem = sum(not lists.stems.isdisjoint(stems(w)) for w in words) if lists.stems else 0
+    usual = [by_chance(size * rate, size * rate) for rate in lists.chance]
 
-    def vote(hits: int) -> int:
-        return BAD if hits > 1 else ABSTAIN if hits else GOOD
+    def vote(hits: int, usual: float) -> int:
+        return BAD if hits > max(1, usual) else ABSTAIN if hits else GOOD
 
     return [
-        BAD if words & INSULTS else ABSTAIN,
-        vote(by_word) if lexicon else ABSTAIN,
-        vote(by_stem) if marked else ABSTAIN,
+        BAD if by_list > usual[0] else ABSTAIN,
+        vote(by_word, usual[1]) if lists.words else ABSTAIN,
+        vote(by_stem, usual[2]) if lists.stems else ABSTAIN,
     ]
 
 
@@ -243,16 +274,26 @@ class Classifier:
     biases: tuple[float, float]
     shares: dict[str, np.ndarray]
     limit: float = 0.5
+    usual_words: float = 0.0
+    chance: tuple[tuple[float, float], tuple[float, float]] = ((0.0, 0.0), (0.0, 0.0))
+
+    def allowance(self, task: int, size: int) -> float:
+        """The weight that a clean text of `size` words has by chance beyond that of a usual text."""
+        more = max(size - self.usual_words, 0.0)
+        mean, variance = self.chance[task]
+        return by_chance(more * mean, more * variance)
 
     def scores(self, texts: list[str], cache: WordCache) -> np.ndarray:
-        """Probabilities (low, toxic) per text."""
-        lists = [list(distinct_words(t)) for t in texts]
+        """Probabilities (low, toxic) per text; words count as far as they exceed the allowance."""
+        found = [words_of(t) for t in texts]
+        lists = [list(words) for words, _ in found]
         known = cache.lookup(lists)
         out = np.empty((len(texts), 2))
         for k, (text, words) in enumerate(zip(texts, lists, strict=True)):
             low = toxic = 0.0
             for hit in filter(None, map(known.__getitem__, words)):
                 low, toxic = low + hit[0], toxic + hit[1]
+            low, toxic = (max(v - self.allowance(task, found[k][1]), 0.0) for task, v in enumerate((low, toxic)))
             for feature in style_features(style(text)) if text else ():
                 hit = self.weights.get(feature)
                 if hit:
@@ -287,49 +328,62 @@ def _sample(docs: DataFrame, ids: DataFrame, rows: int) -> DataFrame:
     return texts.join(F.broadcast(first), ["sketch", "doc_id"]).select("doc_id", "text")
 
 
-def _lexicons(sample: DataFrame, least: float = 0.01, odds: float = 50.0) -> tuple[frozenset[str], frozenset[str]]:
+def _lists(sample: DataFrame, least: float = 0.01, odds: float = 50.0) -> Lists:
     """Words and stems that mark toxic texts: in a share `least` of them, `odds` times as often as elsewhere."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             for text, toxic in zip(strings(batch, "text"), batch.column("gold_toxic").to_pylist(), strict=True):
-                words = distinct_words(text)
-                names = [*words, *{f"{stem}*" for w in words for stem in stems(w)}]
+                words, size = words_of(text)
+                names = ["", *words, *{f"{stem}*" for w in words for stem in stems(w)}]
+                times = [size, *[1] * (len(names) - 1)]  # without a name: all words
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.string()), pa.array([int(toxic == 1)] * len(names), pa.int64())], ["name", "toxic"]
+                    [pa.array(names, pa.string()), pa.array([int(toxic == 1)] * len(names), pa.int64()), pa.array(times, pa.int64())],
+                    ["name", "toxic", "times"],
                 )
 
     sizes = sample.agg(F.sum((F.col("gold_toxic") == 1).cast("int")), F.count("gold_toxic")).first()
     toxic, clean = sizes[0] or 0, (sizes[1] or 0) - (sizes[0] or 0)
     if not toxic or not clean:
-        return frozenset(), frozenset()
-    counted = sample.mapInArrow(run, "name string, toxic bigint").groupBy("name").agg(
-        F.sum("toxic").alias("in_toxic"), F.sum(1 - F.col("toxic")).alias("in_clean")
+        return Lists()
+    counted = sample.mapInArrow(run, "name string, toxic bigint, times bigint").groupBy("name").agg(
+        F.sum(F.col("toxic") * F.col("times")).alias("in_toxic"), F.sum((1 - F.col("toxic")) * F.col("times")).alias("in_clean")
     )
     rate = (F.col("in_toxic") / toxic) / ((F.col("in_clean") + 0.5) / (clean + 1))
-    marked = counted.where((F.col("in_toxic") >= max(3, least * toxic)) & (rate >= odds)).select("name").collect()
-    names = {r.name for r in marked}
-    return frozenset(n for n in names if n[-1] != "*"), frozenset(n[:-1] for n in names if n[-1] == "*")
+    marks = (F.col("name") != "") & (F.col("in_toxic") >= max(3, least * toxic)) & (rate >= odds)
+    fixed = F.col("name").isin("", *INSULTS)
+    rows = counted.withColumn("marks", marks).where(marks | fixed).collect()
+    in_clean = {r.name: r.in_clean for r in rows}
+    names = [r.name for r in rows if r.marks]
+    words, found = [n for n in names if n[-1] != "*"], [n for n in names if n[-1] == "*"]
+
+    def chance(names: Iterable[str], unseen: float) -> float:
+        """Those chosen because they are rare in clean texts are less rare in others."""
+        return (1 + sum(in_clean.get(n, 0) + unseen for n in names)) / (UNSEEN_WORDS + in_clean[""])
+
+    rates = (chance(INSULTS, 0), chance(words, 0.5), chance(found, 0.5))
+    return Lists(frozenset(words), frozenset(n[:-1] for n in found), rates)
 
 
-def _voted(docs: DataFrame, lexicon: frozenset[str], marked: frozenset[str], features: bool) -> DataFrame:
+def _voted(docs: DataFrame, lists: Lists, features: bool) -> DataFrame:
     """Vote patterns without given labels, and on demand the features, per document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            low, toxic, found = [], [], []
+            low, toxic, found, sizes = [], [], [], []
             for text in strings(batch, "text"):
-                shares, words = style(text), distinct_words(text)
+                shares, (words, size) = style(text), words_of(text)
                 low.append(packed(low_votes(shares)) if text else 0)
-                toxic.append(packed(toxic_votes(words, lexicon, marked)) if text else 0)
+                toxic.append(packed(toxic_votes(words, size, lists)) if text else 0)
                 if features:
                     own = [f for w in words for f in word_features(w)]
                     found.append([*own, *style_features(shares)] if text else [])
+                    sizes.append(size)
             columns = [batch.column("doc_id"), pa.array(low, pa.int32()), pa.array(toxic, pa.int32())]
             names = ["doc_id", "low", "toxic"]
             if features:
-                columns.append(pa.array(found, pa.list_(pa.int32())))
-                names.append("features")
+                columns += [pa.array(found, pa.list_(pa.int32())), pa.array(sizes, pa.int64())]
+                names += ["features", "size"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.select("doc_id", "text").mapInArrow(run, FEATURES if features else VOTES)
@@ -350,6 +404,25 @@ def _with_labels(votes: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def _chance(
+    features: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, clean: np.ndarray, weights: dict[int, float]
+) -> tuple[float, float]:
+    """Mean and variance of the weight that one more word gives to a clean text.
+
+    Every weighted feature counts half a time more than it was seen, as training shuns those seen.
+    """
+    ends = np.cumsum(lengths)
+    styles = set(map(feature_hash, STYLE_NAMES))
+    of_rows, half, half_squared = np.zeros(len(lengths)), 0.0, 0.0
+    for feature, weight in weights.items():
+        if feature not in styles:
+            hits = np.searchsorted(ends, np.flatnonzero(features == feature), side="right")
+            np.add.at(of_rows, hits, weight)
+            half, half_squared = half + weight / 2, half_squared + weight**2 / 2
+    words = sizes[clean].sum() + UNSEEN_WORDS
+    return float((of_rows[clean].sum() + half) / words), float(((of_rows[clean] ** 2).sum() + half_squared) / words)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -370,9 +443,9 @@ def fit(
     given = stored(given, "weak-given")
     sample = _sample(rows, given.select("doc_id"), labelled).join(F.broadcast(given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)), "doc_id")
     sample = stored(sample, "weak-labelled")
-    lexicon, marked = _lexicons(sample)
+    lists = _lists(sample)
 
-    votes = _with_labels(_voted(rows, lexicon, marked, False), given)
+    votes = _with_labels(_voted(rows, lists, False), given)
     counted = votes.groupBy("low", "toxic").count().collect()  # at most 3 ** labellers patterns
     posteriors, shares = {}, {}
     for task, labellers in zip(TASKS, (LOW_LABELLERS, TOXIC_LABELLERS), strict=True):
@@ -382,20 +455,25 @@ def fit(
         posteriors[task], shares[task] = estimate(counts, labellers, prior_votes=prior_votes)
 
     more = _sample(rows, rows.where("doc_id is not null").select("doc_id"), others)
-    training = _voted(sample.select("doc_id", "text").unionAll(more), lexicon, marked, True)
+    training = _voted(sample.select("doc_id", "text").unionAll(more), lists, True)
     known = _with_labels(training, given).toArrow()  # a bounded sample
     column = known.column("features").combine_chunks()
     features = column.flatten().to_numpy()
     lengths = pc.list_value_length(column).to_numpy()
-    learned, biases = {}, []
-    for k, task in enumerate(TASKS):
-        targets = np.array([posteriors[task].get(p, 0.0) for p in known.column(task).to_pylist()])
+    sizes = known.column("size").to_numpy()
+    learned, biases, chance = {}, [], []
+    for k, (task, labellers) in enumerate(zip(TASKS, (LOW_LABELLERS, TOXIC_LABELLERS), strict=True)):
+        patterns = known.column(task).to_pylist()
+        targets = np.array([posteriors[task].get(p, 0.0) for p in patterns])
         weights, bias = train(features, lengths, targets)
         biases.append(bias)
+        good = np.array([p // 3 ** (labellers - 1) == GOOD for p in patterns], bool)
+        chance.append(_chance(features, lengths, sizes, good if good.any() else targets < 0.5, weights))
         for feature, weight in weights.items():
             pair = learned.setdefault(feature, [0.0, 0.0])
             pair[k] = weight
-    return Classifier({f: tuple(w) for f, w in learned.items()}, tuple(biases), shares)
+    usual = float(sizes.mean()) if len(sizes) else 0.0
+    return Classifier({f: tuple(w) for f, w in learned.items()}, tuple(biases), shares, usual_words=usual, chance=tuple(chance))
 
 
 def _scored(batches: Iterable[pa.RecordBatch], text: str, fitted: Classifier) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:

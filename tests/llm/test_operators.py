@@ -437,6 +437,35 @@ def test_classifier(spark):
     assert weak_labels.score(table.where("doc_id < 12"), none).where("keep").count() == 12
 
 
+def test_length_of_texts(spark):
+    rng = random.Random(16)
+    plain = [a + b + c for a in "ka lo mi ne su ra to vi".split() for b in "na re si tu".split() for c in "bo da fe gi".split()]
+    marks = [f"{a}umplik" for a in "bcdfghjklmnpqrstvwxz"] + ["trash", "clown", "filth"]
+
+    def text(size, share):
+        return " ".join(rng.choice(marks if rng.random() < share else plain) for _ in range(size))
+
+    data = [(k, text(rng.randint(50, 150), 0.1 if k % 10 == 0 else 0.0002)) for k in range(1500)]
+    long = [(2000 + k, text((20_000, 100_000)[k % 2], 0.0002)) for k in range(8)]
+    toxic = [(3000 + k, text((2_000, 20_000)[k % 2], 0.1)) for k in range(4)]
+    schema = "doc_id bigint, text string"
+    given = spark.createDataFrame([(k, 1, int(k % 10 == 0)) for k in range(1500)], "doc_id bigint, quality int, toxic int")
+    fitted = weak_labels.fit(spark.createDataFrame(data, schema).repartition(3), given)
+    rows = weak_labels.score(spark.createDataFrame(data + long + toxic, schema).repartition(3), fitted).collect()
+    rejected = {r.doc_id for r in rows if not r.keep}
+    assert not rejected & {k for k, _ in long}
+    assert rejected >= {k for k, _ in toxic}
+    assert len({k for k in rejected if k < 1500} ^ set(range(0, 1500, 10))) <= 15
+
+
+@pytest.mark.parametrize("size, hits, want", [(300, 2, 2), (300, 1, 0), (20_000, 2, 0), (100_000, 6, 0), (100_000, 18, 2)])
+def test_toxic_votes_by_length(size, hits, want):
+    words = [f"mark{chr(97 + k)}" for k in range(20)]
+    lists = weak_labels.Lists(frozenset(words), frozenset(), (1e-5, 5e-5, 1e-5))
+    assert weak_labels.toxic_votes(set(words[:hits]), size, lists)[1] == want
+    assert weak_labels.toxic_votes({"trash"}, size, lists)[0] == (2 if size == 300 else 0)
+
+
 EMPTY = [
     lambda d: sentence_pieces.digests(d, PIECES),
     lambda d: token_counts.prefix_counts(d, PIECES, 4),

@@ -46,12 +46,13 @@ _DOTTED = re.compile(r"([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]++")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
-_NUMBER = re.compile(r"[0-9](?:[ -]?[0-9]){5,19}(?![A-Za-z0-9])")
+_NUMBER = re.compile(r"[0-9](?:[ -]?[0-9]){5,}(?![A-Za-z0-9])")
 _AFTER_CUE = re.compile(r"(?: (?:is|number|no\.?|#))?[ ]?[:=#]?[ ]?")
 _SCHEME = re.compile(r"[A-Za-z0-9+.-]")
 _ADDRESS = re.compile(r"[^\s<>\"'`]++")
 _NUMERIC_HOST = re.compile(r"(?:\[[0-9A-Fa-f:.]+\]|[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?=[:/?#]|$)")
-_VALUE = re.compile(r"[\"']?\s?[=:]\s?[\"']?([^\s\"',;]{6,200})")
+_ASSIGNED = re.compile(r"[\"']?\s?[=:]\s?[\"']?")
+_VALUE = re.compile(r"[^\s\"',;]{6,}+")
 _KEY_ID = re.compile(r"[0-9A-Z]{16}(?![0-9A-Za-z])")
 
 
@@ -122,7 +123,7 @@ def _phone(text: str, at: int, free: int) -> tuple[int, int, bool] | None:
     return at, end, 9 <= sum(c.isdigit() for c in text[at:end]) <= 15
 
 
-def _account(text: str, start: int, end: int) -> tuple[int, int] | None:
+def _account(text: str, start: int, end: int, free: int) -> tuple[int, int] | None:
     if (start and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum()):
         return None
     begin = _AFTER_CUE.match(text, end).end()
@@ -145,14 +146,17 @@ def _address(text: str, at: int, free: int) -> tuple[int, int, bool] | None:
     return start, at + 3 + len(body), "@" in host[1:-1] or bool(_NUMERIC_HOST.match(body))
 
 
-def _credential(text: str, start: int, end: int) -> tuple[int, int] | None:
+def _credential(text: str, start: int, end: int, free: int) -> tuple[int, int] | None:
     if start and text[start - 1].isalnum():
         return None
-    value = _VALUE.match(text, end)
-    return value.span(1) if value else None
+    assigned = _ASSIGNED.match(text, end)
+    if not assigned or assigned.end() < free:
+        return None  # in a value already found; reading it again for each cue in it would take long
+    value = _VALUE.match(text, assigned.end())
+    return value.span() if value else None
 
 
-def _key_id(text: str, start: int, end: int) -> tuple[int, int] | None:
+def _key_id(text: str, start: int, end: int, free: int) -> tuple[int, int] | None:
     found = _KEY_ID.match(text, end)
     return (start, found.end()) if found and not (start and text[start - 1].isalnum()) else None
 
@@ -181,7 +185,7 @@ def spans(text: str) -> list[tuple[str, int, int]]:
                         found[kind].append((kind, span[0], span[1]))
         if anchor in _BY_CUE:
             kind, expand = _BY_CUE[anchor]
-            span = expand(text, at, last + 1)
+            span = expand(text, at, last + 1, free[kind])
             if span and span[0] >= free[kind]:
                 free[kind] = span[1]
                 found[kind].append((kind, *span))

@@ -334,6 +334,21 @@ def test_personal_data_method(spark):
     assert {r.text for r in personal_data.mask(table).collect()} == {None, "", masked}
 
 
+def test_long_values_are_masked_whole():
+    token = ("eyJhbGciOi.JIUzI1_NiJ9-" * 50)[:1000]
+    assert len(token) == 1000
+    assert personal_data.masked(f'{{"access_token": "{token}", "n": 1}}') == '{"access_token": "[credential]", "n": 1}'
+    assert personal_data.masked(f"secret={token * 100} end") == "secret=[credential] end"
+    for digits in (6, 20, 21, 24, 300):
+        number = ("1234567890" * 30)[:digits]
+        assert personal_data.masked(f"account number {number}.") == "account number [account]."
+    assert personal_data.masked("account 1234 5678 9012 3456 7890 1234, x") == "account [account], x"
+    assert personal_data.masked("account 1234567 8th") == "account [account] 8th"
+    assert personal_data.masked("account 12345, x") == "account 12345, x"
+    assert personal_data.masked("password=my-secret = hunter22") == "password=[credential] = [credential]"
+    assert len(personal_data.spans("password=" * 100_000)) == 1
+
+
 def test_long_texts_of_anchors():
     for sign in ("@", "+", "://", "1.", "1", "a@", "1 ", "account "):
         personal_data.spans(sign * 20000)

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    centroid_tree,
     fingerprints,
     jaccard_join,
+    license_scan,
     line_dedup,
     mixture_packing,
     personal_data,
@@ -19,6 +21,7 @@ from . import (
     token_counts,
     token_files,
     weak_labels,
+    whitening,
 )
 from .common import table
 
@@ -129,3 +132,18 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return weak_labels.score(docs, weak_labels.fit(docs, table(spark, folder, "labels")))
+
+
+@query("op11_centroid_tree", centroid_tree.reference_sql())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_tree.cluster(table(spark, folder, "embeddings"))
+
+
+@query("op12_license_scan")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.summary(license_scan.scan(table(spark, folder, "documents")))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))

@@ -48,7 +48,7 @@ def parsed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def no_block(spark: SparkSession, d: str) -> DataFrame:
-    return gaps.missing_heights(domain(spark, d), fx.block_objects(spark, d))
+    return gaps.missing_in_range(fx.block_objects(spark, d), *inventory.height_bounds(fx.block(spark, d)))
 
 
 def all_expected(spark: SparkSession, d: str) -> DataFrame:
@@ -77,7 +77,8 @@ def stored_primary(spark: SparkSession, d: str) -> DataFrame:
 
 def lost(spark: SparkSession, d: str, have: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Missing heights and missing shards of an inventory."""
-    return gaps.missing_heights(domain(spark, d), have), gaps.missing_shards(all_expected(spark, d), have)
+    bounds = inventory.height_bounds(fx.block(spark, d))
+    return gaps.missing_in_range(have, *bounds), gaps.missing_shards(all_expected(spark, d), have)
 
 
 def wanted(spark: SparkSession, d: str, have: DataFrame) -> DataFrame:
@@ -483,8 +484,9 @@ def fallback_missing(spark, d):
 @query
 def repair_gate(spark, d):
     batches = expected(spark, d, 10).select("batch_start")
-    have = materialise(filled(spark, d), "filled")
-    return gaps.complete_batches(batches, *lost(spark, d, have), START, 10)
+    have = stored_primary(spark, d)
+    still = gaps.still_missing(have, fallback(spark, d), wanted(spark, d, have), all_expected(spark, d))
+    return gaps.complete_batches(batches, *still, START, 10)
 
 
 @query

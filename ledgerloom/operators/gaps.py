@@ -12,6 +12,7 @@ from ..functions.checks import is_present, valid_payload, whole_div
 from ..functions.keys import shard_member
 from ..session import materialise
 from .common import broadcast_within, slice_width
+from .presence import absent_heights, absent_in_batches
 from .ranges import assign_batch
 
 BLOCK = "block.json"
@@ -34,6 +35,27 @@ def missing_heights(domain: DataFrame, objects: DataFrame, by: Sequence[str] = H
     return domain.join(present_heights(objects, by), list(by), "left_anti")
 
 
+def _blocks(objects: DataFrame) -> DataFrame:
+    return objects.where((F.col("member") == BLOCK) & is_present("size"))
+
+
+def missing_in_range(objects: DataFrame, start: int, stop: int) -> DataFrame:
+    """Heights of ``[start, stop]`` without a non-empty block in `objects`.
+
+    The same as :func:`missing_heights` of the whole range, by bitmaps: no height that is there
+    becomes a row of its own.
+    """
+    return absent_heights(objects.sparkSession, _blocks(objects).select("height"), start, stop)
+
+
+def missing_in_batches(batches: DataFrame, objects: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Heights without a non-empty block per batch, both with ``batch_start, batch_end``, by bitmaps.
+
+    `keep` names further columns of `batches` that the result carries.
+    """
+    return absent_in_batches(batches, _blocks(objects).select(*BATCH, "height"), keep)
+
+
 def missing_shards(expected: DataFrame, objects: DataFrame, by: Sequence[str] = HEIGHT) -> DataFrame:
     """Expected shards without a non-empty file, for heights whose block is present.
 
@@ -101,6 +123,20 @@ def fill_gaps(primary: DataFrame, fallback: DataFrame, wanted: DataFrame, by: Se
     return kept.unionByName(fetched.select(*primary.columns))
 
 
+def still_missing(
+    primary: DataFrame, fallback: DataFrame, wanted: DataFrame, expected: DataFrame, by: Sequence[str] = HEIGHT
+) -> tuple[DataFrame, DataFrame]:
+    """Heights and shards that are missing after :func:`fill_gaps`, out of the `wanted` heights alone.
+
+    Filling touches no other height, so nothing else is scanned again. `wanted` is all that was
+    missing before, `expected` the shards of all heights; both are small or written.
+    """
+    named = wanted.select(*by)
+    touched = primary.join(named, list(by), "left_semi").select(*by, "member", "size")
+    after = fill_gaps(touched, fallback.select("height", "member", "size"), named, by)
+    return missing_heights(named, after, by), missing_shards(expected.join(named, list(by), "left_semi"), after, by)
+
+
 def fallback_missing(wanted: DataFrame, fallback: DataFrame, by: Sequence[str] = HEIGHT) -> DataFrame:
     """Wanted heights the fallback does not have."""
     return wanted.select(*by).join(fallback.select("height").distinct(), "height", "left_anti").select(*by)

@@ -16,6 +16,7 @@ from ..functions.checks import safe_boundary
 from ..functions.keys import below, parse_archives, path_parts, range_name
 from ..operators import copying, gaps, ranges, stats
 from ..operators.common import broadcast_within, of_batches
+from ..operators.presence import absent_in_batches
 from ..session import discard, materialise, scratch_path
 from ..sinks import batches as sink
 from ..sinks import records, transfer
@@ -82,7 +83,6 @@ def archive_job(
     pending = materialise(
         pending_work(spark, stored, start_from, stop_at, size, control, prefix, codec), "pending"
     )
-    heights = ranges.batch_heights(pending.drop("key"))
     # The outer bounds reach the scan as a range filter, the exact batches as a join.
     low, high = inventory.height_bounds(pending.select(F.explode(F.array("batch_start", "batch_end")).alias("height")))
     binned = ranges.assign_batch(objects.where(F.col("height").between(low, high)), start_from, size)
@@ -90,7 +90,7 @@ def archive_job(
     if fallback is not None:
         # A fetched height without a block is taken for shards alone; an unusable block is no height.
         fallback = gaps.fit_fallback(fallback, need_block=False)
-    unlisted = materialise(heights.join(listed.select("height").distinct(), "height", "left_anti"), "unlisted")
+    unlisted = materialise(absent_in_batches(pending, listed.select(*BY)), "unlisted")
     empty = gaps.fallback_missing(unlisted, fallback, BY) if fallback is not None else unlisted
     if consecutive_empty:
         runs = gaps.empty_runs(empty, start_from, stop_at)
@@ -204,7 +204,7 @@ def fix_gaps_job(
     layout = materialise(gaps.layout_check(objects), "layout")
     mixed = layout.where("verdict = 'inconsistent'").select(*BATCH)
     sound = found.join(mixed, list(BATCH), "left_anti")
-    lost = gaps.missing_heights(ranges.batch_heights(sound), objects, BY)
+    lost = gaps.missing_in_batches(sound, objects)
     lost = materialise(lost.join(layout.select(*BATCH, "parent"), list(BATCH), "left"), "lost")
     fit = gaps.fit_fallback(fallback)
     absent = gaps.fallback_missing(lost, fallback, (*BY, "parent"))
@@ -331,8 +331,7 @@ def audit_repair_job(
 
     slim = members.select(*BY, "member", "size")
     expected = payloads.shards_of(checked, BY).join(sound, ["batch_start", "batch_end"], "left_semi")
-    domain = ranges.batch_heights(sound.select("batch_start", "batch_end"))
-    lost_h = materialise(gaps.missing_heights(domain, slim, BY), "missing-heights")
+    lost_h = materialise(gaps.missing_in_batches(sound, slim), "missing-heights")
     lost_s = materialise(gaps.missing_shards(expected, slim, BY), "missing-shards")
     report = gaps.problem_report(lost_h, lost_s, by=BY)
     named = archives.select("archive_key", *BATCH)
@@ -360,7 +359,7 @@ def audit_repair_job(
         heads = fixed.where(inside & (F.col("member") == gaps.BLOCK) & (F.col("size") > 0))
         again = payloads.read_headers(heads.select(*BY, "payload"), BY)
         slim = fixed.where(inside).select(*BY, "member", "size")
-        still_h = gaps.missing_heights(ranges.batch_heights(touched), slim, BY)
+        still_h = gaps.missing_in_batches(touched, slim)
         still_s = gaps.missing_shards(payloads.shards_of(again, BY), slim, BY)
         # A fetched block that cannot be read keeps its batch incomplete, too.
         broken_h = again.where("error is not null").select(*BY)

@@ -134,6 +134,26 @@ ORACLES = {
         select height // 100 * 100 as batch_start, count(*) as files, cast(sum(size) as bigint) as bytes
         from fx_sources
         where size > 0 or height // 100 not in (select height // 100 from fx_no_block) group by 1""",
+    "versioned_batches": """
+        select height // 100 * 100 as batch_start, count(*) as files, cast(sum(size) as bigint) as bytes
+        from fx_sources
+        where size > 0 or height // 100 not in (select height // 100 from fx_no_block) group by 1""",
+    "earlier_version": """
+        select height // 100 * 100 as batch_start, count(*) as files, cast(sum(size) as bigint) as bytes
+        from fx_sources group by 1""",
+    "damaged_heights": """
+        with found as (
+            select height, count(*) as n,
+                   case when height % 101 = 7 then 'extra' when height % 97 = 3 then 'changed' end as verdict
+            from fx_sources group by height
+        ), odd as (
+            select height, case when verdict = 'extra' then 0 else n end as files, n as stored_files, verdict
+            from found where verdict is not null
+            union all select -height - 1, n, 0, 'missing' from found where height % 89 = 5
+        )
+        select cast(floor(height / 1000.0) * 1000 as bigint) as batch_start,
+               cast(floor(height / 1000.0) * 1000 + 999 as bigint) as batch_end, height, files, stored_files, verdict
+        from odd""",
     "verify_batches": f"select *, true as ok from ({_COMPACT})",
     "append_stats": """
         select concat(b, '-', b + 999) as batch, cast(bytes // 1048576 as bigint) as uncompressed_mb, dirs
@@ -311,6 +331,12 @@ ORACLES = {
     "sealed_batches": _SEALED,
     "late_heights": """
         select doc_id as height from labels where doc_id // 1000 * 1000 in (select batch_start from fx_sealed)""",
+    "late_heights_stream": """
+        select distinct doc_id as height from labels where doc_id // 1000 * 1000 in (select batch_start from fx_sealed)""",
+    "open_windows": """
+        select event_id // 1000 * 1000 as batch_start, event_id // 1000 * 1000 + 999 as batch_end, count(*) as dirs
+        from events group by 1, 2
+        having event_id // 1000 * 1000 + 1000 + 100 > (select max(event_id) from events)""",
     "sealed_batches_stream": _SEALED,
     "stream_resume": _SEALED,
     "stream_sink": "select batch_start, dirs from fx_sealed",

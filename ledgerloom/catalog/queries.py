@@ -16,6 +16,7 @@ from ..session import configure, materialise, scratch_path
 from ..sinks import archives as tar_sink
 from ..sinks import batches as sink
 from ..sinks import records
+from ..sinks.versions import VersionedTable
 from ..sources import inventory, payloads, tar
 from ..streaming import sealing
 
@@ -231,6 +232,39 @@ def verify_batches(spark, d):
     return sink.verify_batches(fx.sources(spark, d), path, START, SIZE).select("batch_start", "files", "bytes", "ok")
 
 
+def tampered(spark, d):
+    """What was to be stored, against a table in which some heights were changed, lost or added."""
+    path = written(spark, d, sink.write_batches)
+    height, size = F.col("height"), F.col("size")
+    rows = fx.sources(spark, d).where(height % 101 != 7).withColumn("size", F.when(height % 97 == 3, size + 1).otherwise(size))
+    extra = fx.sources(spark, d).where(height % 89 == 5)
+    return rows.unionByName(extra.withColumn("height", -height - 1)), path
+
+
+@query
+def damaged_heights(spark, d):
+    return sink.find_damage(*tampered(spark, d), START, SIZE)
+
+
+def versioned(spark, d):
+    """A table of archives with two commits: the sources, then the broken batches without empty files."""
+    table = VersionedTable(spark, scratch_path(spark, "versioned"))
+    table.replace(fx.sources(spark, d), START, RANGE)
+    broken = ranges.assign_batch(no_block(spark, d), START, RANGE).select("batch_start").distinct()
+    table.replace(table.read().where("size > 0").join(broken, "batch_start", "left_semi"))
+    return table
+
+
+@query
+def versioned_batches(spark, d):
+    return per_batch(versioned(spark, d).read())
+
+
+@query
+def earlier_version(spark, d):
+    return per_batch(versioned(spark, d).read(at=1))
+
+
 def large_blocks(spark, d):
     return fx.table(spark, d, "orders").select(
         F.col("o_orderkey").alias("height"), (F.floor("o_totalprice").cast("bigint") * 1000).alias("size")
@@ -682,15 +716,23 @@ def late_heights(spark, d):
     return sealing.late_heights(late, sealed_static(spark, d), START, SIZE)
 
 
+# Files of one slice of heads, and of one micro-batch.
+SLICE_FILES = 8
+
+
 def landed(spark, d, folder, parts=range(4), of=4):
-    """Heads written to a landing folder slice by slice, in height order."""
+    """Heads written to a landing folder slice by slice, in height order, one slice per micro-batch."""
     rows = fx.heads(spark, d)
     low, high = inventory.height_bounds(rows)
     step = (high - low) // of + 1
     for part in parts:
         first = low + part * step
-        rows.where(F.col("height").between(first, first + step - 1)).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema("height bigint").option("maxFilesPerTrigger", 1).parquet(folder)
+        land(rows.where(F.col("height").between(first, first + step - 1)), folder)
+    return spark.readStream.schema("height bigint").option("maxFilesPerTrigger", SLICE_FILES).parquet(folder)
+
+
+def land(rows, folder):
+    rows.repartition(SLICE_FILES, "height").write.mode("append").parquet(folder)
 
 
 @query
@@ -722,6 +764,27 @@ def stream_sink(spark, d):
     return rows.groupBy("batch_start").agg(F.count("*").alias("dirs"))
 
 
+@query
+def open_windows(spark, d):
+    folder = scratch_path(spark, "stream")
+    sealed = sealing.sealed_batches(landed(spark, d, f"{folder}/in"), START, SIZE, HOT)
+    sealing.resume(sealed, f"{folder}/out", f"{folder}/ck").awaitTermination()
+    return sealing.open_windows(spark, f"{folder}/ck", START, SIZE)
+
+
+@query
+def late_heights_stream(spark, d):
+    folder = scratch_path(spark, "stream")
+    late = fx.table(spark, d, "labels").select(F.col("doc_id").alias("height"))
+    for _ in range(2):  # the same late rows after a restart are no news
+        stream = landed(spark, d, f"{folder}/in", range(4) if not _ else ())
+        writer = sealing.write_sealed(stream, f"{folder}/out", f"{folder}/ck", START, SIZE, HOT)
+        sealing.follow_head(writer).awaitTermination()
+        land(late, f"{folder}/in")
+    sealing.follow_head(writer).awaitTermination()
+    return sealing.read_late(spark, f"{folder}/out").select("height")
+
+
 @query
 def stream_gap_counts(spark, d):
     folder = scratch_path(spark, "stream")
@@ -802,12 +865,13 @@ def with_headers(spark, d, rows):
 def audit_repair_job(spark, d):
     folder = scratch_path(spark, "audit")
     members = with_headers(spark, d, primary(spark, d)).withColumn("parent", F.lit("data"))
-    sink.write_batches(members, f"{folder}/batches", START, RANGE)
+    table = VersionedTable(spark, f"{folder}/batches")
+    table.replace(members, START, RANGE)
     summary = jobs.audit_repair_job(
         fx.archives(spark, d),
-        sink.read_batches(spark, f"{folder}/batches"),
+        table.read(),
         with_headers(spark, d, fallback(spark, d)),
-        f"{folder}/batches",
+        table,
         base_url="https://api.example.org/v0/block",
         events_path=f"{folder}/events",
     )

@@ -20,6 +20,7 @@ from ..operators.presence import absent_in_batches
 from ..session import discard, materialise, scratch_path
 from ..sinks import batches as sink
 from ..sinks import records, transfer
+from ..sinks.versions import VersionedTable
 from ..sources import inventory, payloads, tar
 
 BATCH = gaps.BATCH
@@ -246,7 +247,8 @@ def import_job(spark: SparkSession, folder: str, out: str, prefix: str | None =
     Archives count if they lie in the subfolder `prefix`; of several with one range the first
     key is taken. With a `prefix` of None, archives anywhere count, and those of one range are
     parts of it, as :func:`pack_archives` writes them. Members become rows of `out` with ``batch_start, batch_end, parent, height, member, size,
-    payload``. Returns the archives that could not be read, as ``batch_start, error``.
+    payload``; members outside height folders stay with their archive, under their whole path and
+    without a height. Returns the archives that could not be read, as ``batch_start, error``.
     """
     listed = tar.archive_paths(spark, folder).withColumn("key", below("path", folder))
     found = parse_archives(listed, prefix or "", exact_prefix=prefix is not None)
@@ -263,11 +265,10 @@ def import_job(spark: SparkSession, folder: str, out: str, prefix: str | None =
         "batch_end",
         F.col("_p.parent").alias("parent"),
         F.col("_p.height").alias("height"),
-        F.col("_p.member").alias("member"),
+        F.coalesce("_p.member", "member").alias("member"),
         "size",
         F.col("payload").cast("string").alias("payload"),
     )
-    rows = rows.where("height is not null")
     totals = sink.replace_batches(rows, out)
     sink.require_totals(of_batches(sink.read_batches(spark, out, rows.schema), found), totals, out)
     failed = members.where("error is not null").join(found, "archive")
@@ -278,7 +279,7 @@ def audit_repair_job(
     stored: DataFrame,
     objects: DataFrame,
     fallback: DataFrame,
-    path: str | None = None,
+    path: str | VersionedTable | None = None,
     *,
     start_from: int = 0,
     stop_at: int | None = None,
@@ -293,8 +294,10 @@ def audit_repair_job(
     `stored` is the archive inventory, `objects` the members of all archives with
     ``batch_start, batch_end, parent, height, member, size, payload`` (a written table),
     `path` the batch table whose partitions may be replaced, `unreadable` archives that could
-    not be expanded (``batch_start, error``). Returns one row per archive with what was
-    missing and ``status``: ``ok``, ``problem``, ``repaired``, ``incomplete``, ``unreadable``.
+    not be expanded (``batch_start, error``). In a :class:`VersionedTable` all repaired archives
+    change by one commit, which leaves out those that do not read back as written; in a plain
+    table a read-back that fails fails them all. Returns one row per archive with what was missing
+    and ``status``: ``ok``, ``problem``, ``repaired``, ``incomplete``, ``failed``, ``unreadable``.
     """
     spark = stored.sparkSession
     archives = ranges.scope_filter(ranges.first_archive(parse_archives(stored, prefix)), start_from, stop_at)
@@ -350,12 +353,18 @@ def audit_repair_job(
         touched = materialise(wanted.select("batch_start", "batch_end").distinct(), "touched")
         # Only partitions of broken batches are read with their payload.
         broken = of_batches(whole, touched)
-        staging = scratch_path(spark, "repaired")
+        table = path if isinstance(path, VersionedTable) else None
+        staging = None if table else scratch_path(spark, "repaired")
         # Fetched members go to the folder the batch uses.
         placed = wanted.join(layout.select(*BATCH, "parent"), list(BATCH), "left").fillna("", ["parent"])
         filled = gaps.fill_gaps(broken, fit, placed, BY)
-        sink.write_batches(filled, staging)
-        fixed = sink.read_batches(spark, staging, filled.schema)
+        if table:
+            # Written once, in its place, and seen by nobody until it is committed.
+            staged = table.stage(filled)
+            fixed = table.staged(staged)
+        else:
+            sink.write_batches(filled, staging)
+            fixed = sink.read_batches(spark, staging, filled.schema)
         heads = fixed.where(inside & (F.col("member") == gaps.BLOCK) & (F.col("size") > 0))
         again = payloads.read_headers(heads.select(*BY, "payload"), BY)
         slim = fixed.where(inside).select(*BY, "member", "size")
@@ -367,17 +376,33 @@ def audit_repair_job(
         done = materialise(
             touched.join(still.select(*BATCH).distinct(), list(BATCH), "left_anti"), "complete"
         )
-        if path:
+        damaged = done.limit(0)
+        if table:
+            bad_batches = table.damaged(staged, filled)
+            if bad_batches is not None:
+                damaged = materialise(done.join(bad_batches, list(BATCH), "left_semi"), "damaged")
+                done = materialise(done.join(damaged, list(BATCH), "left_anti"), "intact")
+            if not done.isEmpty():
+                table.commit(staged, done)
+            table.forget(staged)
+        elif path:
             ready = of_batches(fixed, done)
             totals = sink.replace_batches(ready, path)
-            sink.require_totals(of_batches(sink.read_batches(spark, path, ready.schema), done), totals, path)
-        discard(spark, staging)
+            if not sink.verify_totals(of_batches(sink.read_batches(spark, path, ready.schema), done), totals):
+                damaged, done = done, done.limit(0)
+        if staging:
+            discard(spark, staging)
         reason = F.lit("gaps remain after refetch; archive not replaced")
         events += [
             records.gap_events(absent.join(named, list(BATCH)), "fallback_not_found", base_url),
             records.event(unfit.join(named, list(BATCH)), "gap_fill_failed", error=F.lit(UNFIT)),
             records.event(still.join(named, list(BATCH)), "archive_repair_skipped_incomplete", reason=reason),
             records.event(archives.join(done, list(BATCH), "left_semi"), "archive_repaired"),
+            records.event(
+                archives.join(damaged, list(BATCH), "left_semi"),
+                "archive_repair_failed",
+                error=F.lit("replacement does not read back as written"),
+            ),
         ]
     if events_path:
         records.append_lines(records.audit_events(events), events_path)
@@ -387,8 +412,11 @@ def audit_repair_job(
     if dry_run:
         status = status.otherwise("problem")
     else:
-        summary = summary.join(done.select(*BATCH, F.lit(True).alias("_done")), list(BATCH), "left")
-        status = status.when(F.col("_done"), "repaired").otherwise("incomplete")
+        ends = done.select(*BATCH, F.lit("repaired").alias("_end")).unionByName(
+            damaged.select(*BATCH, F.lit("failed").alias("_end"))
+        )
+        summary = summary.join(ends, list(BATCH), "left")
+        status = status.when(F.col("_end").isNotNull(), F.col("_end")).otherwise("incomplete")
     zero = F.lit(0).cast("bigint")
     return summary.select(
         "archive_key",

@@ -91,20 +91,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """Path and file system of a location in any store that Spark reads."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    found, store = _hadoop_path(spark, path)
+    found, store = hadoop_path(spark, path)
     return store.exists(found)
 
 
 def qualified(spark: SparkSession, folder: str) -> str:
     """`folder` with the scheme and store Spark resolves it to, so that tasks open the same one."""
-    found, store = _hadoop_path(spark, folder.rstrip("/"))
+    found, store = hadoop_path(spark, folder.rstrip("/"))
     full = store.makeQualified(found).toString()
     return full if full.startswith("file://") or not full.startswith("file:") else "file://" + full.removeprefix("file:")
 
@@ -113,7 +113,7 @@ def discard(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder that nothing reads any more."""
     if not path.startswith(shared_dir(spark)):
         raise ValueError(f"{path} is not below the shared folder")
-    found, store = _hadoop_path(spark, path)
+    found, store = hadoop_path(spark, path)
     store.delete(found, True)
 
 

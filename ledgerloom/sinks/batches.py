@@ -10,8 +10,7 @@ from ..functions.keys import archive_key
 from ..operators.common import of_batches
 from ..operators.ranges import assign_batch
 from ..session import exists, materialise
-
-PARTITION = ["batch_start", "batch_end"]
+from .digests import PARTITION, damaged_heights, digest, height_digests
 
 
 def balanced(df: DataFrame) -> DataFrame:
@@ -28,16 +27,15 @@ def stored_order(df: DataFrame) -> DataFrame:
     return df.sortWithinPartitions(*PARTITION, rest, "height", "member")
 
 
-def _totals(df: DataFrame) -> dict:
-    columns = sorted(c for c in df.columns if c not in PARTITION)
+def totals(df: DataFrame) -> dict:
     return {
         "files": F.count(F.lit(1)),
         "bytes": F.coalesce(F.sum("size"), F.lit(0)),
-        "digest": F.coalesce(F.bit_xor(F.xxhash64(*columns)), F.lit(0)),
+        "digest": digest(df),
     }
 
 
-def _binned(df: DataFrame, start: int, size: int) -> DataFrame:
+def binned(df: DataFrame, start: int, size: int) -> DataFrame:
     """Adds the batch by arithmetic unless the rows already say which one they belong to."""
     return df if set(PARTITION) <= set(df.columns) else assign_batch(df, start, size)
 
@@ -45,7 +43,7 @@ def _binned(df: DataFrame, start: int, size: int) -> DataFrame:
 def _write(df: DataFrame, path: str, mode: str, codec: str, level: int | None = None) -> dict:
     # Counted in the stage that writes, so what went in is known without a second run.
     seen = Observation()
-    rows = df.observe(seen, *(c.alias(name) for name, c in _totals(df).items()))
+    rows = df.observe(seen, *(c.alias(name) for name, c in totals(df).items()))
     writer = (
         rows.write.mode("append" if mode == "append" else "overwrite")
         .option("partitionOverwriteMode", "dynamic" if mode == "dynamic" else "static")
@@ -64,7 +62,7 @@ def write_batches(
 
     Each file is in :func:`stored_order`. A small batch is one file, a hot one several. Returns the files, bytes and digest that went in, for :func:`verify_totals`.
     """
-    return _write(stored_order(balanced(_binned(df, start, size))), path, "static", codec, level)
+    return _write(stored_order(balanced(binned(df, start, size))), path, "static", codec, level)
 
 
 def replace_batches(
@@ -74,12 +72,12 @@ def replace_batches(
 
     `df` must not read from `path`: write repaired rows to a staging path first.
     """
-    return _write(stored_order(balanced(_binned(df, start, size))), path, "dynamic", codec, level)
+    return _write(stored_order(balanced(binned(df, start, size))), path, "dynamic", codec, level)
 
 
 def write_heights(df: DataFrame, path: str, start: int = 0, size: int = 1, append: bool = False) -> dict:
     """Keep batches uncompressed, in arrival order, for later work; `append` adds to stored ones."""
-    return _write(balanced(_binned(df, start, size)), path, "append" if append else "static", "none")
+    return _write(balanced(binned(df, start, size)), path, "append" if append else "static", "none")
 
 
 def merge_heights(df: DataFrame, path: str, start: int = 0, size: int = 1) -> dict:
@@ -88,7 +86,7 @@ def merge_heights(df: DataFrame, path: str, start: int = 0, size: int = 1) -> di
     The batches concerned are put together beside the table first, then replaced.
     """
     spark = df.sparkSession
-    rows = materialise(_binned(df, start, size), "merged")
+    rows = materialise(binned(df, start, size), "merged")
     if exists(spark, path):
         touched = rows.select(*PARTITION).distinct()
         old = of_batches(read_batches(spark, path, rows.schema), touched)
@@ -128,21 +126,21 @@ def batch_inventory(
     )
 
 
-def verify_totals(stored: DataFrame, totals: dict) -> bool:
+def verify_totals(stored: DataFrame, went_in: dict) -> bool:
     """Whether stored rows, read back whole, hold the files, bytes and digest that went in."""
     back = stored.drop(*PARTITION)
-    row = back.agg(*(c.alias(name) for name, c in _totals(back).items())).first()
-    return row.asDict() == totals
+    row = back.agg(*(c.alias(name) for name, c in totals(back).items())).first()
+    return row.asDict() == went_in
 
 
-def require_totals(stored: DataFrame, totals: dict, path: str) -> None:
+def require_totals(stored: DataFrame, went_in: dict, path: str) -> None:
     """Raise unless :func:`verify_totals` holds."""
-    if not verify_totals(stored, totals):
+    if not verify_totals(stored, went_in):
         raise RuntimeError(f"{path} does not hold what was written to it")
 
 
 def _fingerprint(df: DataFrame) -> DataFrame:
-    return df.groupBy(*PARTITION).agg(*(c.alias(name) for name, c in _totals(df).items()))
+    return df.groupBy(*PARTITION).agg(*(c.alias(name) for name, c in totals(df).items()))
 
 
 def verify_batches(source: DataFrame, path: str, start: int, size: int) -> DataFrame:
@@ -163,3 +161,9 @@ def verify_batches(source: DataFrame, path: str, start: int, size: int) -> DataF
     return wanted.join(stored, PARTITION, "full").select(
         *PARTITION, "files", "bytes", "stored_files", "stored_bytes", same.alias("ok")
     )
+
+
+def find_damage(source: DataFrame, path: str, start: int, size: int) -> DataFrame:
+    """Heights whose written copy differs from what went in: :func:`digests.damaged_heights`."""
+    stored = read_batches(source.sparkSession, path).select(*source.columns, *PARTITION)
+    return damaged_heights(height_digests(binned(source, start, size)), height_digests(stored))

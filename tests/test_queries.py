@@ -19,6 +19,7 @@ LARGER = {
     "stream_resume",
     "stream_sink",
     "stream_gap_counts",
+    "late_heights_stream",
 }
 SQL = entry_point.oracle_sql()
 

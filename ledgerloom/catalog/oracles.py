@@ -154,6 +154,11 @@ ORACLES = {
         select cast(floor(height / 1000.0) * 1000 as bigint) as batch_start,
                cast(floor(height / 1000.0) * 1000 + 999 as bigint) as batch_end, height, files, stored_files, verdict
         from odd""",
+    "archives_of_heights": """
+        select n.height, a.key, a.first, a.last
+        from fx_no_block n join (
+            select key, first, last + case when first % 300 = 0 then 250 else 0 end as last from fx_parsed
+        ) a on n.height between a.first and a.last""",
     "verify_batches": f"select *, true as ok from ({_COMPACT})",
     "append_stats": """
         select concat(b, '-', b + 999) as batch, cast(bytes // 1048576 as bigint) as uncompressed_mb, dirs

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..functions import checks, keys
-from ..operators import copying, gaps, ranges, stats
+from ..operators import copying, gaps, ranges, stabbing, stats
 from ..plans import jobs
 from ..schemas import BATCH_STATS, CONTROL
 from ..session import configure, materialise, scratch_path
@@ -607,6 +607,15 @@ def assign_batch(spark, d):
     return ranges.assign_batch(fx.objects(spark, d).select("height", "member"), START, SIZE)
 
 
+@query
+def archives_of_heights(spark, d):
+    """Blocks that do not count, with every archive that holds them; archives nest and overlap here."""
+    wide = parsed(spark, d).select(
+        "key", "first", (F.col("last") + F.when(F.col("first") % 300 == 0, 250).otherwise(0)).alias("last")
+    )
+    return stabbing.covering(no_block(spark, d), wide)
+
+
 @query
 def batch_stats(spark, d):
     return stats.batch_stats(fx.objects(spark, d), START, SIZE)

@@ -159,6 +159,11 @@ ORACLES = {
         from fx_no_block n join (
             select key, first, last + case when first % 300 = 0 then 250 else 0 end as last from fx_parsed
         ) a on n.height between a.first and a.last""",
+    "archive_parts": """
+        select printf('%012d/block.json', doc_id) as member, cast(strlen(source) as bigint) as size, md5(source) as md5
+        from documents
+        union all select printf('%012d/shard_0.json', doc_id), cast(strlen(text) as bigint), md5(text) from documents""",
+    "archive_headers": "select printf('%012d/block.json', doc_id) as member, source as header from documents",
     "verify_batches": f"select *, true as ok from ({_COMPACT})",
     "append_stats": """
         select concat(b, '-', b + 999) as batch, cast(bytes // 1048576 as bigint) as uncompressed_mb, dirs

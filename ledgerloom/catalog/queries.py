@@ -17,7 +17,7 @@ from ..sinks import archives as tar_sink
 from ..sinks import batches as sink
 from ..sinks import records
 from ..sinks.versions import VersionedTable
-from ..sources import inventory, payloads, tar
+from ..sources import inventory, payloads, tar, tar_parts
 from ..streaming import sealing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,6 +173,34 @@ def expand_archives(spark, d):
     return tar.readable_members(spark.read.parquet(members)).select("member", "size", F.md5("payload").alias("md5"))
 
 
+def packed_parts(spark, d):
+    """Documents as blocks, their sources as shards, packed into archives of many frames."""
+    docs = fx.table(spark, d, "documents")
+    members = F.array(
+        F.struct(F.lit("block.json").alias("member"), F.col("source").alias("payload")),
+        F.struct(F.lit("shard_0.json").alias("member"), F.col("text").alias("payload")),
+    )
+    rows = docs.select(F.col("doc_id").alias("height"), F.inline(members))
+    folder = scratch_path(spark, "parts")
+    tar_sink.pack_archives(rows, folder, START, 10 * RANGE, "gzip")
+    return folder
+
+
+@query
+def archive_parts(spark, d):
+    members = tar_parts.read_members(tar_sink.archive_index(spark, packed_parts(spark, d)))
+    return members.select("member", "size", F.md5("payload").alias("md5"))
+
+
+@query
+def archive_headers(spark, d):
+    """Headers alone, out of the frames they lie in, by an index made of the archives themselves."""
+    paths = tar.archive_paths(spark, packed_parts(spark, d))
+    index = materialise(tar_parts.index_archives(paths), "index")
+    headers = tar_parts.read_members(index.where(F.col("member").endswith("/block.json")))
+    return headers.select("member", F.col("payload").cast("string").alias("header"))
+
+
 @query
 def latest_height(spark, d):
     return inventory.latest_height(fx.heads(spark, d))

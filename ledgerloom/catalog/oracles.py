@@ -413,17 +413,39 @@ ORACLES = {
                (select count(*) from seg where last >= first and depth = 0) as gaps,
                (select count(*) from seg where last >= first and depth > 1) as overlaps""",
     "copy_job": r"""
-        with v as (select s.key, d.key as held,
+        with after as (
+            select key, size, etag from fx_dst
+            union all
+            select concat('copied/', substr(key, 10)), size, etag from fx_src
+            where concat('copied/', substr(key, 10)) not in (select key from fx_dst)
+              and cast(regexp_extract(key, '[0-9]+$') as bigint) % 7 <> 3
+        ), v as (select s.key, b.key as held,
                      case when d.key is null then 'missing' when s.size <> d.size then 'size_mismatch'
                           when regexp_matches(d.etag, '^[0-9a-f]{32}$') and s.etag <> d.etag then 'md5_mismatch'
                           else 'ok' end as verdict
                    from (select concat('copied/', substr(key, 10)) as key, size, etag from fx_src) s
-                   left join fx_dst d on d.key = s.key)
+                   left join fx_dst b on b.key = s.key left join after d on d.key = s.key)
         select count(*) as listed, cast(0 as bigint) as skipped_filter, count(held) as skipped_existing,
                count(*) - count(held) as copied, count(*) filter (verdict = 'ok') as ok,
                count(*) filter (verdict = 'missing') as missing,
                count(*) filter (verdict = 'size_mismatch') as size_mismatch,
                count(*) filter (verdict = 'md5_mismatch') as md5_mismatch from v""",
+    "copy_job_dry_run": """
+        select key, concat('copied/', substr(key, 10)) as dest_key, size from fx_src
+        where concat('copied/', substr(key, 10)) not in (select key from fx_dst)""",
+    "pack_job": """
+        select concat(b, '-', b + 99) as batch, cast(bytes // 1048576 as bigint) as uncompressed_mb, dirs, true as timed
+        from (select doc_id // 100 * 100 as b, sum(strlen(text)) as bytes, count(*) as dirs from documents group by 1)""",
+    "fix_gaps_from_replies": """
+        with lost as (
+            select height, height % 7 <> 1 and height in (select height from fx_block) as known,
+                   height % 3 <> 0 and height % 5 <> 0
+                   or height % 3 = 0 and height not in (select height from fx_wanted_shard) as sound
+            from fx_no_block
+        )
+        select height // 100 * 100 as batch_start, count(*) as found,
+               count(*) filter (known and sound) as filled, count(*) filter (not (known and sound)) as failed
+        from lost group by 1""",
     "copy_objects": "select distinct doc_id // 100 * 100 as batch_start, true as ok from documents",
     "exists_job": """
         select concat('archives/', first, '-', last, '.tar.zst') as key,

@@ -922,15 +922,49 @@ def validate_job(spark, d):
     return jobs.validate_job(fx.archives(spark, d), start_from=START, stop_at=stop, size=RANGE, stats_path=path)
 
 
+def copy_of(spark, d, **options):
+    """A copy of all objects; of those planned, every seventh never arrives."""
+    source, dest = fx.source_objects(spark, d), fx.dest_objects(spark, d)
+    number = F.substring_index("key", "/", -1).cast("bigint")
+    sent = copying.copy_plan(source.where(number % 7 != 3), dest, "archives/", "copied/", copy_all_under_prefix=True)
+    after = dest.unionByName(sent.select(F.col("dest_key").alias("key"), "size", "etag"))
+    names = {"source_prefix": "archives/", "dest_prefix": "copied/", "copy_all_under_prefix": True}
+    return jobs.copy_job(source, dest, after=after, **names, **options)
+
+
 @query
 def copy_job(spark, d):
-    return jobs.copy_job(
-        fx.source_objects(spark, d),
-        fx.dest_objects(spark, d),
-        source_prefix="archives/",
-        dest_prefix="copied/",
-        copy_all_under_prefix=True,
+    return copy_of(spark, d)
+
+
+@query
+def copy_job_dry_run(spark, d):
+    return copy_of(spark, d, dry_run=True)
+
+
+@query
+def pack_job(spark, d):
+    folder = scratch_path(spark, "pack")
+    texts = fx.table(spark, d, "documents").select(
+        F.col("doc_id").alias("height"), F.lit("block.json").alias("member"), F.col("text").alias("payload")
+    )
+    jobs.pack_job(texts, folder, start_from=START, size=RANGE, stats_path=f"{folder}-stats")
+    lines = spark.read.schema(BATCH_STATS).json(f"{folder}-stats")
+    timed = (F.col("download_sec") >= 0) & (F.col("compress_sec") > 0) & (F.col("upload_sec") > 0)
+    return lines.select("batch", "uncompressed_mb", "dirs", timed.alias("timed"))
+
+
+@query
+def fix_gaps_from_replies(spark, d):
+    """Gaps filled from fetched replies, some of which have a shard without an id or no usable block."""
+    have = ranges.assign_batch(fx.block_objects(spark, d), START, RANGE).withColumn("parent", F.lit("data"))
+    body = (
+        F.when(F.col("height") % 3 == 0, F.regexp_replace("body", '"shard_id"', '"id"'))
+        .when(F.col("height") % 5 == 0, F.regexp_replace("body", '"block":', '"head":'))
+        .otherwise(F.col("body"))
     )
+    replies = fx.envelopes(spark, d).where(F.col("height") % 7 != 1).withColumn("body", body)
+    return jobs.fix_gaps_job(batch_names(spark, d), have, None, replies=replies).drop("batch_end")
 
 
 @query

@@ -18,6 +18,7 @@ from ..operators import copying, gaps, ranges, stats
 from ..operators.common import broadcast_within, of_batches
 from ..operators.presence import absent_in_batches
 from ..session import discard, materialise, scratch_path
+from ..sinks import archives as tar_sink
 from ..sinks import batches as sink
 from ..sinks import records, transfer
 from ..sinks.versions import VersionedTable
@@ -184,9 +185,10 @@ def stage_job(
 def fix_gaps_job(
     folders: DataFrame,
     objects: DataFrame,
-    fallback: DataFrame,
+    fallback: DataFrame | None,
     out: str | None = None,
     *,
+    replies: DataFrame | None = None,
     base_url: str | None = None,
     api_key: str = "",
     events_path: str | None = None,
@@ -194,6 +196,10 @@ def fix_gaps_job(
 ) -> DataFrame:
     """Fill absent heights of staged batch folders from the fallback.
 
+    The fallback is a table of members, or `replies` as they were fetched (``height, body``, see
+    :func:`payloads.split_envelope`). A reply with an unusable block or shard fills nothing; its
+    event says why.
+
     `folders` holds the folder ``name``, `objects` holds ``batch_start, batch_end, parent,
     height, member, size``. Filled members go to `out` in place of those of the same name.
     Returns found, filled and failed per batch; heights whose fetched block is absent or unusable
@@ -207,10 +213,17 @@ def fix_gaps_job(
     sound = found.join(mixed, list(BATCH), "left_anti")
     lost = gaps.missing_in_batches(sound, objects)
     lost = materialise(lost.join(layout.select(*BATCH, "parent"), list(BATCH), "left"), "lost")
+    broken = None
+    if replies is not None:
+        fallback, broken = _from_replies(replies, lost)
     fit = gaps.fit_fallback(fallback)
-    absent = gaps.fallback_missing(lost, fallback, (*BY, "parent"))
+    if broken is None:
+        known, unfit = fallback, _unfit(lost, fallback, fit).withColumn("error", F.lit(UNFIT))
+    else:
+        fit = fit.join(broken, "height", "left_anti")
+        known, unfit = replies, lost.join(broken, "height")
+    absent = gaps.fallback_missing(lost, known, (*BY, "parent"))
     got = lost.join(fit.select("height").distinct(), "height", "left_semi")
-    unfit = _unfit(lost, fallback, fit)
     parts = [
         records.gap_events(lost, "gap_found", dry_run=F.lit(True if dry_run else None)),
         records.event(
@@ -221,7 +234,7 @@ def fix_gaps_job(
         parts += [
             records.gap_events(got, "gap_filled", base_url, api_key),
             records.gap_events(absent, "fallback_not_found", base_url, api_key),
-            records.event(unfit, "gap_fill_failed", error=F.lit(UNFIT)),
+            records.event(unfit, "gap_fill_failed"),
         ]
         if out:
             fetched = fit.join(lost.fillna("", ["parent"]), "height")
@@ -235,6 +248,13 @@ def fix_gaps_job(
 UNFIT = "fetched block is absent, empty or no JSON object"
 
 
+def _from_replies(replies: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members held by the replies of the wanted heights, and ``height, error`` of the broken ones."""
+    asked = replies.join(wanted.select("height").distinct(), "height", "left_semi")
+    problems = payloads.envelope_problems(asked).groupBy("height").agg(F.min("error").alias("error"))
+    return payloads.split_envelope(asked), materialise(problems, "broken-replies")
+
+
 def _unfit(wanted: DataFrame, fallback: DataFrame, fit: DataFrame) -> DataFrame:
     """Wanted heights that the fallback knows, but has no usable block of."""
     known = wanted.join(fallback.select("height").distinct(), "height", "left_semi")
@@ -275,6 +295,30 @@ def import_job(spark: SparkSession, folder: str, out: str, prefix: str | None =
     return materialise(failed.select("batch_start", "batch_end", "error"), "failed")
 
 
+def pack_job(
+    objects: DataFrame,
+    folder: str,
+    *,
+    start_from: int,
+    size: int,
+    codec: str = "zstd",
+    level: int = 6,
+    stats_path: str | None = None,
+) -> DataFrame:
+    """Write objects (``height, member, payload``) as tar archives by range, and what that took.
+
+    Returns one row per range: folders, members, bytes, stored bytes and the seconds its tasks
+    waited for rows, compressed and wrote; a range cut into several archives is one row. With
+    `stats_path` each range is a statistics line, too.
+    """
+    manifest = tar_sink.pack_archives(objects, folder, start_from, size, codec, level)
+    sums = ("members", "dirs", "bytes", "stored", "download_sec", "compress_sec", "upload_sec")
+    done = materialise(manifest.groupBy(*BATCH).agg(*(F.sum(c).alias(c) for c in sums)), "packed")
+    if stats_path:
+        records.append_stats(records.batch_stats_rows(done, "stored"), stats_path)
+    return done
+
+
 def audit_repair_job(
     stored: DataFrame,
     objects: DataFrame,
@@ -484,13 +528,19 @@ def copy_job(
     copy_all_under_prefix: bool = False,
     after: DataFrame | None = None,
     roots: tuple[str, str] | None = None,
+    dry_run: bool = False,
 ) -> DataFrame:
     """Counters of a copy and, against the destination `after` it, how many keys arrived intact.
 
+    A `dry_run` copies nothing and returns the plan, ``key, dest_key, size``.
+
     With `roots`, the folders the source and destination keys lie in, the planned objects are
     copied, and the destination is listed afterwards. The keys themselves come from
     :func:`copying.copy_plan`, their order under a cap from :func:`copying.copy_schedule`.
     """
+    if dry_run:
+        plan = copying.copy_plan(source, dest, source_prefix, dest_prefix, overwrite, copy_all_under_prefix)
+        return plan.select("key", "dest_key", "size")
     if roots:
         plan = copying.copy_plan(source, dest, source_prefix, dest_prefix, overwrite, copy_all_under_prefix)
         dest = materialise(dest, "dest")  # its state before the copy

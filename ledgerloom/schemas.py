@@ -43,7 +43,8 @@ MEMBERS = T.StructType(
 
 CONTROL = T.StructType([T.StructField("last_processed_number", T.LongType())])
 
-# Statistics lines. Batches of one run are written together, so the time is that of the run.
+# Statistics lines. Batches of a table are written together, so their time is that of the run;
+# archives have seconds of their own.
 BATCH_STATS = T.StructType(
     [
         T.StructField("batch", T.StringType()),
@@ -52,6 +53,9 @@ BATCH_STATS = T.StructType(
         T.StructField("reduction_pct", T.DoubleType()),
         T.StructField("dirs", T.LongType()),
         T.StructField("run_sec", T.DoubleType()),
+        T.StructField("download_sec", T.DoubleType()),
+        T.StructField("compress_sec", T.DoubleType()),
+        T.StructField("upload_sec", T.DoubleType()),
     ]
 )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tarfile
+import time
 import zlib
 from collections.abc import Iterator
 
@@ -18,7 +19,11 @@ from ..operators.ranges import assign_batch
 from ..session import ship_package
 from .batches import balanced
 
-MEMBERS = "path string, batch_start bigint, batch_end bigint, member string, size bigint, at bigint, span bigint, skip bigint"
+# Rows of an archive's members, and a last one with the archive's own size and times.
+MEMBERS = (
+    "path string, batch_start bigint, batch_end bigint, member string, size bigint, at bigint, span bigint, skip bigint, "
+    "stored bigint, download_sec double, compress_sec double, upload_sec double"
+)
 _MEMBER_SCHEMA = pa.schema(
     [
         ("path", pa.string()),
@@ -29,6 +34,10 @@ _MEMBER_SCHEMA = pa.schema(
         ("at", pa.int64()),
         ("span", pa.int64()),
         ("skip", pa.int64()),
+        ("stored", pa.int64()),
+        ("download_sec", pa.float64()),
+        ("compress_sec", pa.float64()),
+        ("upload_sec", pa.float64()),
     ]
 )
 
@@ -50,6 +59,7 @@ class _Archive:
         self._frame = self._at = 0  # unpacked bytes of the open frame, stored bytes before it
         self._stored = 0
         self._open: list[tuple] = []
+        self.waited = self.compressing = self.uploading = 0.0
 
     def _write(self, data: bytes) -> None:
         if self._packer is None:
@@ -60,10 +70,15 @@ class _Archive:
             else:
                 self._packer = zlib.compressobj(self._level, wbits=31)
         self._frame += len(data)
-        self._put(self._packer.compress(data))
+        self._put(self._packer.compress, data)
 
-    def _put(self, packed: bytes) -> None:
+    def _put(self, pack, *data: bytes) -> None:
+        began = time.monotonic()
+        packed = pack(*data)
+        self.compressing += time.monotonic() - began
+        began = time.monotonic()
         self.raw.write(packed)
+        self.uploading += time.monotonic() - began
         self._stored += len(packed)
 
     def add(self, name: str, payload: bytes) -> None:
@@ -77,9 +92,9 @@ class _Archive:
         """End the frame; the members in it, as ``member, size, at, span, skip``."""
         if self._packer is None:
             return []
-        self._put(self._packer.flush())
+        self._put(self._packer.flush)
         span = self._stored - self._at
-        ended = [(name, size, self._at, span, skip) for name, size, skip in self._open]
+        ended = [(name, size, self._at, span, skip, *[None] * 4) for name, size, skip in self._open]
         self._packer, self._open, self._frame, self._at = None, [], 0, self._stored
         return ended
 
@@ -90,8 +105,10 @@ class _Archive:
         ended = self.cut()
         self._write(bytes(_TAR_END))
         self.cut()
+        began = time.monotonic()
         self.raw.close()
-        return ended
+        self.uploading += time.monotonic() - began
+        return [*ended, (*[None] * 5, self._stored, self.waited, self.compressing, self.uploading)]
 
 
 def _pack(batches: Iterator[pa.RecordBatch], folder: str, codec: str, level: int) -> Iterator[pa.RecordBatch]:
@@ -106,7 +123,10 @@ def _pack(batches: Iterator[pa.RecordBatch], folder: str, codec: str, level: int
         columns = list(zip(*named)) or [[]] * len(_MEMBER_SCHEMA)
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _MEMBER_SCHEMA)], schema=_MEMBER_SCHEMA)
 
+    began, waited = time.monotonic(), 0.0
     for batch in batches:
+        # What a task waits for is the rows of the archive it writes, or of the next one.
+        waited += time.monotonic() - began
         columns = (batch.column(c).to_pylist() for c in ("key", "batch_start", "batch_end", "name", "block", "payload"))
         for *row_key, name, block, payload in zip(*columns):
             if row_key != key:
@@ -117,7 +137,9 @@ def _pack(batches: Iterator[pa.RecordBatch], folder: str, codec: str, level: int
                 # Blocks have frames of their own: who wants headers unpacks no shards.
                 yield rows(archive.cut())
             is_block = block
+            archive.waited, waited = archive.waited + waited, 0.0
             archive.add(name, payload or b"")
+        began = time.monotonic()
     if archive is not None:
         yield rows(archive.close())
 
@@ -130,7 +152,8 @@ def pack_archives(
     Rows stream into the archive in height order, blocks before all other members, as frames of
     about a megabyte that unpack on their own. A batch too big for one task is cut into archives of
     the same range name below different task folders. Stored next to the archives are the index
-    of their members (:func:`archive_index`) and the manifest, which is returned.
+    of their members (:func:`archive_index`) and the manifest, which is returned: a row per archive
+    with its members, bytes and seconds of waiting for rows, compressing and writing.
     """
     rows = assign_batch(df, start, size).select(
         archive_key("batch_start", "batch_end", prefix, codec).alias("key"),
@@ -147,7 +170,10 @@ def pack_archives(
     spark = df.sparkSession
     members = spark.read.schema(MEMBERS).parquet(f"{folder}/_index")
     manifest = members.groupBy("path", "batch_start", "batch_end").agg(
-        F.count("*").alias("members"), F.sum("size").alias("bytes")
+        F.count("member").alias("members"),
+        F.count_distinct(F.substring_index("member", "/", 1)).alias("dirs"),
+        F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"),
+        *(F.sum(c).alias(c) for c in ("stored", "download_sec", "compress_sec", "upload_sec")),
     )
     manifest.write.mode("error").parquet(f"{folder}/_manifest")
     return spark.read.parquet(f"{folder}/_manifest")
@@ -155,7 +181,7 @@ def pack_archives(
 
 def archive_index(spark: SparkSession, folder: str) -> DataFrame:
     """Index of the members that :func:`pack_archives` wrote below `folder`, for reading in parts."""
-    rows = spark.read.schema(MEMBERS).parquet(f"{folder}/_index")
+    rows = spark.read.schema(MEMBERS).parquet(f"{folder}/_index").where("member is not null")
     return rows.select(
         F.col("path").alias("archive"), "member", "size", "at", "span", "skip", F.lit(None).cast("string").alias("error")
     )

@@ -136,10 +136,11 @@ def _account(text: str, start: int, end: int, free: int) -> tuple[int, int] | No
 
 def _address(text: str, at: int, free: int) -> tuple[int, int, bool] | None:
     start = at
-    while start > free and start > at - 20 and _SCHEME.match(text[start - 1]):
+    while start > free and _SCHEME.match(text[start - 1]):
         start -= 1
-    rest = _ADDRESS.match(text, at + 3)
-    if start == at or not rest:
+    # Without a scheme nothing is read; what is read is not read again, as it becomes the span.
+    rest = _ADDRESS.match(text, at + 3) if start < at else None
+    if not rest:
         return None
     body = rest.group().rstrip(".,;:!?)]}")
     host = re.split(r"[/?#]", body, maxsplit=1)[0]

@@ -1,15 +1,17 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
-Equal vectors are one node; shards hold at most a fixed number of nodes on average. A shard's
-graph is stored as flat arrays, per level the offsets of every node's neighbours and the
-neighbours. Queries go to every shard as a sorted stream behind its graph, so a task holds one
-graph and one query at a time; the shards' best are merged per query.
+Equal vectors are one node with a number of its own; shards hold at most a fixed number of nodes
+on average, dealt by a hash of the vector. A shard's graph is stored as flat arrays, per level the
+offsets of every node's neighbours and the neighbours. Shards are dealt to tasks by number.
+Queries go to every shard as a sorted stream behind its graph, so a task holds one graph and one
+query at a time; the shards' best are merged per query.
 
 Rows
 ----
 Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do
 rows with a null id. Vectors are compared within one length. Equal scores go to the smaller
-id. Repeated ids are one candidate each. Extra columns are left out. Empty tables give no rows.
+id. A repeated id is one query and one candidate: its vector nearest to the query counts, and its
+rows ask together. Extra columns are left out. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ SHARD = 8192
 # Neighbours per node and level (twice as many on the lowest), and beam widths.
 LINKS, BUILD_BEAM, SEARCH_BEAM = 16, 80, 128
 
-INDEX = "dim int, shard int, ids binary, vectors binary, entry int, offsets array<binary>, links array<binary>"
+INDEX = "dim int, shard int, place int, ids binary, vectors binary, entry int, offsets array<binary>, links array<binary>"
 
 
 class Graph:
@@ -196,66 +198,78 @@ def index(rows: DataFrame, kept_ids: int) -> tuple[DataFrame, DataFrame]:
         .where(F.col("rank") <= kept_ids)
         .groupBy("vector")
         .agg(F.sort_array(F.collect_list("vec_id")).alias("same"))
-        .select(F.size("vector").alias("dim"), F.element_at("same", 1).alias("node"), "vector", "same")
+        .select(
+            F.size("vector").alias("dim"),
+            F.monotonically_increasing_id().alias("node"),  # fixed by being stored
+            F.xxhash64("vector").alias("mark"),
+            "vector",
+            "same",
+        )
     )
     nodes = stored(nodes, "small-world-nodes")
+    # One row per length: its shards, and how many shards stand before them.
+    before = F.coalesce(F.sum("shards").over(Window.orderBy("dim").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shards = nodes.groupBy("dim").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
-    placed = nodes.join(shards, "dim").withColumn("shard", F.pmod(F.xxhash64("node"), "shards").cast("int"))
+    shards = shards.withColumn("before", before.cast("int"))
+    placed = nodes.join(shards, "dim").withColumn("shard", F.pmod("mark", "shards").cast("int"))
+    placed = placed.withColumn("place", F.col("before") + F.col("shard"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, list[float]]] = []
+        held: list[tuple[int, int, list[float]]] = []
         key = None
 
         def made():
-            ids = np.array([i for i, _ in held], np.int64)
-            vectors = np.array([v for _, v in held], np.float64)
-            graph = build(unit(vectors), ids)
+            ids = np.array([i for i, _, _ in held], np.int64)
+            vectors = np.array([v for _, _, v in held], np.float64)
+            graph = build(unit(vectors), np.array([m for _, m, _ in held], np.int64))
             row = {
                 "dim": key[0],
                 "shard": key[1],
+                "place": key[2],
                 "ids": ids.tobytes(),
                 "vectors": vectors.tobytes(),
                 "entry": graph.entry,
                 "offsets": [x.tobytes() for x in graph.offsets],
                 "links": [x.tobytes() for x in graph.links],
             }
-            types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.binary()), pa.list_(pa.binary())]
+            types = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.binary()), pa.list_(pa.binary())]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), types)], list(row))
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("dim", "shard", "node", "vector"))
-            for dim, shard, node, vector in zip(*columns, strict=True):
-                if held and key != (dim, shard):
+            columns = (batch.column(c).to_pylist() for c in ("dim", "shard", "place", "node", "mark", "vector"))
+            for dim, shard, place, node, mark, vector in zip(*columns, strict=True):
+                if held and key != (dim, shard, place):
                     yield made()
                     held = []
-                key = (dim, shard)
-                held.append((node, vector))
+                key = (dim, shard, place)
+                held.append((node, mark, vector))
         if held:
             yield made()
 
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = placed.select("dim", "shard", "node", "vector").repartition(partitions, "dim", "shard")
-    graphs = dealt.sortWithinPartitions("dim", "shard", "node").mapInArrow(run, INDEX)
+    dealt = _dealt(placed.select("dim", "shard", "place", "node", "mark", "vector"))
+    graphs = dealt.sortWithinPartitions("place", "mark", "node").mapInArrow(run, INDEX)
     return nodes, stored(graphs, "small-world-graphs")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Shards, numbered by ``place``, over the partitions of the session in turn."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionById(partitions, F.col("place") % partitions)
+
+
 def search(queries: DataFrame, nodes: DataFrame, graphs: DataFrame, k: int) -> DataFrame:
     """``query_id, rank, vec_id, score``: the `k` nearest of each query but itself.
 
     `queries` has ``query_id, vector``.
     """
-    spark = graphs.sparkSession
-    places = graphs.select("dim", "shard")
+    places = graphs.select("dim", "place")
     graph_columns = [F.col(c) for c in ("ids", "vectors", "entry", "offsets", "links")]
     empty = [F.lit(None).cast(graphs.schema[c].dataType).alias(c) for c in ("ids", "vectors", "entry", "offsets", "links")]
     asked = queries.select(F.size("vector").alias("dim"), "query_id", "vector").join(places, "dim")
     stream = graphs.select(
-        "dim", "shard", F.lit(None).cast("bigint").alias("query_id"), F.lit(None).cast("array<double>").alias("vector"), *graph_columns
-    ).unionByName(asked.select("dim", "shard", "query_id", "vector", *empty))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stream = stream.repartition(partitions, "dim", "shard").sortWithinPartitions(
-        "dim", "shard", F.col("query_id").asc_nulls_first()
-    )
+        "place", F.lit(None).cast("bigint").alias("query_id"), F.lit(None).cast("array<double>").alias("vector"), *graph_columns
+    ).unionByName(asked.select("place", "query_id", "vector", *empty))
+    stream = _dealt(stream).sortWithinPartitions("place", F.col("query_id").asc_nulls_first())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = ids = wide = None
@@ -285,7 +299,8 @@ def search(queries: DataFrame, nodes: DataFrame, graphs: DataFrame, k: int) -> D
         found.join(nodes.select("dim", "node", "same"), "node")
         .select("query_id", "score", F.explode("same").alias("vec_id"))
         .where("vec_id <> query_id")
-        .distinct()
+        .groupBy("query_id", "vec_id")
+        .agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

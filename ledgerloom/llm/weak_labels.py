@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import WordCache, slices, stored, strings, text_columns
 from .jaccard_join import shingles
+from .word_tokens import forget
 
 ABSTAIN, GOOD, BAD = 0, 1, 2
 TASKS = ("low", "toxic")
@@ -57,6 +58,9 @@ PRIOR_VOTES = 1000.0
 UNSEEN_WORDS = 100_000
 DEVIATIONS = 4.0
 
+# Words a scoring task remembers per generation, of two.
+SCORED_WORDS = 150_000
+
 VOTES = "doc_id bigint, low int, toxic int"
 FEATURES = "doc_id bigint, low int, toxic int, features array<int>, size bigint"
 SCORES = "doc_id bigint, p_low double, p_toxic double"
@@ -317,6 +321,7 @@ def _sample(docs: DataFrame, ids: DataFrame, rows: int) -> DataFrame:
     """
 
     def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches, "text"):
             found = [shingles(text, 3)[:1] for text in strings(batch, "text")]
             least = [int(f[0].astype(np.int64)) if len(f) else 0 for f in found]
@@ -369,6 +374,7 @@ def _voted(docs: DataFrame, lists: Lists, features: bool) -> DataFrame:
     """Vote patterns without given labels, and on demand the features, per document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches, "text"):
             low, toxic, found, sizes = [], [], [], []
             for text in strings(batch, "text"):
@@ -477,7 +483,8 @@ def fit(
 
 
 def _scored(batches: Iterable[pa.RecordBatch], text: str, fitted: Classifier) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    cache = WordCache(fitted.word_weights)
+    forget()
+    cache = WordCache(fitted.word_weights, SCORED_WORDS)
     for batch in slices(batches, text):
         yield batch, fitted.scores(strings(batch, text), cache)
 

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.common import broadcast_within
 from .common import slices, stored, strings, text_columns
 from .components import connected
 
@@ -38,6 +39,8 @@ from .components import connected
 BUCKET_BITS = 22
 # The table travels in slices of so many buckets.
 SLICE_BITS = 16
+# Pairs of ids that are sent to all tasks at most, 32 MB of them; more are shuffled.
+PAIR_ROWS = 2_000_000
 # Hash regions of the suffix filter.
 REGIONS = 16
 
@@ -208,9 +211,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(one) + len(other) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sets.select(F.col("rid").alias("a"), F.col("tokens").alias("left"))
-    other = sets.select(F.col("rid").alias("b"), F.col("tokens").alias("right"))
-    return pairs.join(one, "a").join(other, "b").select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
+    # Pairs are two numbers each, sets are long: up to PAIR_ROWS pairs go to the sets, and only one
+    # set per pair, and those it is compared with, move.
+    one = sets.select(F.col("rid").alias("a"), F.col("tokens").alias("left")).join(broadcast_within(pairs, PAIR_ROWS), "a")
+    heads = broadcast_within(pairs.select("b").distinct(), PAIR_ROWS)
+    other = sets.select(F.col("rid").alias("b"), F.col("tokens").alias("right")).join(heads, "b", "left_semi")
+    return one.join(other, "b").select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
 
 
 def _needed(percent: int):

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import jaccard_join, line_dedup, mixture_packing, personal_data, weak_labels
-from ledgerloom.llm.common import stored, table
+from ledgerloom.llm.common import stored, table, unused
 from ledgerloom.session import ship_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -44,11 +44,23 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
+    """Keeps one row of each group of near copies, that with the smallest id.
+
+    Rows are judged each, so of rows that repeat an id only those go whose own text is near a
+    kept one; of equal rows one stays. Rows without an id link with nothing and stay.
+    """
     ship_package(spark)
-    found = jaccard_join.jaccard_join(docs, words=5, percent=80)
-    copies = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    (row,) = unused(docs, "row")
+    # Stored, so that a row has the same number whenever it is read.
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-numbered")
+    known = numbered.where(F.col("doc_id").isNotNull())
+    groups = jaccard_join.jaccard_join(known, words=5, percent=80, id_col=row).select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")
+    )
+    first = F.min(F.struct("doc_id", row)).alias("_first")
+    firsts = known.select("doc_id", row).join(groups, F.col(row) == F.col("_row")).groupBy("_group").agg(first)
+    copies = groups.join(firsts, "_group").where(F.col("_row") != F.col(f"_first.{row}")).select(F.col("_row").alias(row))
+    return numbered.join(copies, row, "left_anti").select(*docs.columns)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,8 +6,10 @@ pattern, and expectation-maximisation over the patterns estimates each labeller'
 per class and the posterior of each pattern. Posterior labels of a bounded sample train a
 hashed linear scorer (logistic loss, L1 penalty), which then scores every document.
 
-Bounds: the word lists and the scorer are fitted on the ``labelled`` labelled rows and the
-``others`` other rows with the smallest hashes of their ids (parameters of :func:`fit`).
+Bounds: the word lists are fitted on the ``labelled`` labelled rows with the smallest hashes of
+their ids. The scorer learns from these, from ``others`` rows of the whole table and from
+``per_pattern`` rows of every pattern of votes that occurs, a rarer pattern in full, so that a
+kind of junk that any labeller knows is learnt however rare it is (parameters of :func:`fit`).
 Votes, their counts and the scores cover all documents.
 
 Rows
@@ -31,6 +33,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import WordCache, slices, stored, strings, text_columns
 from .jaccard_join import shingles
@@ -319,6 +322,30 @@ def _sample(docs: DataFrame, ids: DataFrame, rows: int) -> DataFrame:
     Near copies mostly share the smallest hash of their word triples; one of them counts, or a
     group of copies would pass for many witnesses.
     """
+    return _texts(docs, _first(ids, rows))
+
+
+def _first(ids: DataFrame, rows: int) -> DataFrame:
+    return ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+
+
+def _of_patterns(votes: DataFrame, counted: list, most: int) -> DataFrame:
+    """Ids of `most` documents of every pattern of votes, all of a rarer one.
+
+    Of frequent patterns a share by the hash of the id, about twice what is wanted, is ranked.
+    """
+    spark = votes.sparkSession
+    share = [(r.low, r.toxic, min(1.0, 2 * (most + 10) / r["count"])) for r in counted]
+    wanted = spark.createDataFrame(share, "low int, toxic int, share double")
+    key = F.xxhash64("doc_id")
+    near = F.pmod(key, F.lit(1 << 30)) < F.col("share") * (1 << 30)
+    some = votes.where("doc_id is not null").join(F.broadcast(wanted), ["low", "toxic"]).where(near)
+    rank = F.row_number().over(Window.partitionBy("low", "toxic").orderBy(key, "doc_id"))
+    return some.withColumn("rank", rank).where(F.col("rank") <= most).select("doc_id")
+
+
+def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The texts of a bounded number of documents, one of each group of near copies."""
 
     def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
@@ -327,7 +354,6 @@ def _sample(docs: DataFrame, ids: DataFrame, rows: int) -> DataFrame:
             least = [int(f[0].astype(np.int64)) if len(f) else 0 for f in found]
             yield batch.append_column("sketch", pa.array(least, pa.int64()))
 
-    chosen = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.join(F.broadcast(chosen), "doc_id").mapInArrow(sketched, "doc_id bigint, text string, sketch bigint")
     first = texts.groupBy("sketch").agg(F.min("doc_id").alias("doc_id"))
     return texts.join(F.broadcast(first), ["sketch", "doc_id"]).select("doc_id", "text")
@@ -433,7 +459,8 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     labelled: int = 6000,
-    others: int = 3000,
+    others: int = 2000,
+    per_pattern: int = 20,
     id_col: str = "doc_id",
     text_col: str = "text",
     prior_votes: float = PRIOR_VOTES,
@@ -451,7 +478,7 @@ def fit(
     sample = stored(sample, "weak-labelled")
     lists = _lists(sample)
 
-    votes = _with_labels(_voted(rows, lists, False), given)
+    votes = stored(_with_labels(_voted(rows, lists, False), given), "weak-votes")
     counted = votes.groupBy("low", "toxic").count().collect()  # at most 3 ** labellers patterns
     posteriors, shares = {}, {}
     for task, labellers in zip(TASKS, (LOW_LABELLERS, TOXIC_LABELLERS), strict=True):
@@ -460,7 +487,8 @@ def fit(
             counts[row[task]] = counts.get(row[task], 0) + row["count"]
         posteriors[task], shares[task] = estimate(counts, labellers, prior_votes=prior_votes)
 
-    more = _sample(rows, rows.where("doc_id is not null").select("doc_id"), others)
+    wide = _first(votes.where("doc_id is not null").select("doc_id"), others)
+    more = _texts(rows, wide.unionAll(_of_patterns(votes, counted, per_pattern)).distinct())
     training = _voted(sample.select("doc_id", "text").unionAll(more), lists, True)
     known = _with_labels(training, given).toArrow()  # a bounded sample
     column = known.column("features").combine_chunks()

@@ -24,6 +24,7 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import accumulate
 
 import numpy as np
@@ -105,17 +106,24 @@ class Mixture:
             counts[k] = min(self.units[k], (2 * due * self.rates[k] + active) // (2 * active))
         short = wanted - sum(counts)
         scale = 1 << 80  # due times as integers: exact to far below the gap of two times
-        while short > 0:
-            k = min(
-                (k for k in self._order if counts[k] < self.units[k]),
-                key=lambda k: ((2 * counts[k] + 1) * scale // self.rates[k], k),
-            )
-            counts[k], short = counts[k] + 1, short - 1
-        while short < 0:
-            k = max(
-                (k for k in self._order if counts[k]), key=lambda k: ((2 * counts[k] - 1) * scale // self.rates[k], k)
-            )
-            counts[k], short = counts[k] - 1, short + 1
+        if short > 0:
+            # The next unit of each queue by its due time; the earliest are served.
+            due_next = [((2 * counts[k] + 1) * scale // self.rates[k], k) for k in self._order if counts[k] < self.units[k]]
+            heapify(due_next)
+            for _ in range(short):
+                k = heappop(due_next)[1]
+                counts[k] += 1
+                if counts[k] < self.units[k]:
+                    heappush(due_next, ((2 * counts[k] + 1) * scale // self.rates[k], k))
+        elif short < 0:
+            # The last unit of each queue; the latest are taken back.
+            served_last = [(-((2 * counts[k] - 1) * scale // self.rates[k]), -k) for k in self._order if counts[k]]
+            heapify(served_last)
+            for _ in range(-short):
+                k = -heappop(served_last)[1]
+                counts[k] -= 1
+                if counts[k]:
+                    heappush(served_last, (-((2 * counts[k] - 1) * scale // self.rates[k]), -k))
         return counts
 
     def _block(self, number: int) -> np.ndarray:

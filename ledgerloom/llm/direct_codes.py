@@ -46,9 +46,9 @@ class DirectCodes:
     """Random access to a file made by :func:`encode`."""
 
     def __init__(self, data: bytes):
-        if data[:4] != MAGIC:
+        if bytes(data[:4]) != MAGIC:
             raise ValueError("not a file of direct codes")
-        levels = data[4]
+        (levels,) = struct.unpack_from("<B", data, 4)
         lengths = struct.unpack_from(f"<{levels}Q", data, 5)
         at = 5 + 8 * levels
         self._levels = []

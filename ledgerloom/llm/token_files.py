@@ -22,13 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import slices, stored, strings, text_columns
+from ..session import scratch_path
+from .common import slices, strings, text_columns
 from .direct_codes import DirectCodes, encode
 from .ordering import id_cuts, in_order, with_range
 from .word_tokens import token_bytes
 
 # A segment is closed after the document that brings it to this many ids.
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 17
 
 SEGMENTS = (
     "part int, segment int, first bigint, n_ids bigint, doc_ids array<bigint>, n_tokens array<bigint>, codes binary"
@@ -75,7 +76,15 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
 
     rows = text_columns(docs, id_col, text_col)
     ordered = in_order(with_range(rows, id_cuts(rows)), "doc_id", "text")
-    return stored(ordered.mapInArrow(run, SEGMENTS), "token-files")
+    return _stored_plain(ordered.mapInArrow(run, SEGMENTS), "token-files")
+
+
+def _stored_plain(df: DataFrame, name: str) -> DataFrame:
+    """Like ``stored``, without compression: codes are read in place, not unpacked."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.option("compression", "none").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def part_starts(segments: DataFrame) -> DataFrame:
@@ -85,6 +94,42 @@ def part_starts(segments: DataFrame) -> DataFrame:
     return totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
 
 
+def lookup(segments: DataFrame, places: DataFrame) -> DataFrame:
+    """``doc_id, offset, token_id`` for places in documents (``doc_id, offset``, from 0).
+
+    The directories of the segments, without codes, tell which segment holds a document; of a
+    segment that is asked for, codes are read at the wanted places alone. Places beyond a
+    document and unknown ids give no row; of rows that repeat an id each answers.
+    """
+    entry = F.arrays_zip("doc_ids", "n_tokens")
+    before = F.aggregate(
+        F.slice("n_tokens", 1, F.col("k")), F.lit(0).cast("bigint"), lambda total, size: total + size
+    )
+    held = segments.select("part", "segment", "n_tokens", F.posexplode(entry).alias("k", "entry")).select(
+        "part", "segment", F.col("entry.doc_ids").alias("doc_id"), F.col("entry.n_tokens").alias("size"), before.alias("begin")
+    )
+    wanted = places.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("offset").cast("bigint").alias("offset"))
+    found = held.join(wanted, "doc_id").where((F.col("offset") >= 0) & (F.col("offset") < F.col("size")))
+    asked = found.select("part", "segment", "doc_id", "offset", (F.col("begin") + F.col("offset")).alias("at"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, number, out = batch.column("codes"), batch.column("at").to_pylist(), []
+            opened, key = None, None
+            keys = list(zip(batch.column("part").to_pylist(), batch.column("segment").to_pylist()))
+            for k, at in enumerate(number):
+                if keys[k] != key:
+                    key, opened = keys[k], DirectCodes(codes[k].as_buffer())
+                out.append(opened.at(at))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("offset"), pa.array(out, pa.int64())], ["doc_id", "offset", "token_id"]
+            )
+
+    codes = segments.select("part", "segment", "codes")
+    joined = asked.join(codes, ["part", "segment"]).select("part", "segment", "doc_id", "offset", "at", "codes")
+    return joined.mapInArrow(run, "doc_id bigint, offset bigint, token_id bigint")
+
+
 def read(segments: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every stored document."""
 

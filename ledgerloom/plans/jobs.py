@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.checks import safe_boundary
-from ..functions.keys import below, parse_archives, path_parts, range_name
+from ..functions.keys import PAD_WIDTH, below, parse_archives, path_parts, range_name
 from ..operators import copying, gaps, ranges, stats
 from ..operators.common import broadcast_within, of_batches
 from ..operators.presence import absent_in_batches
@@ -68,6 +68,7 @@ def archive_job(
     stats_path: str | None = None,
     prefix: str = "archives",
     codec: str = "zstd",
+    level: int | None = None,
     dry_run: bool = False,
 ) -> DataFrame:
     """Compact pending batches out of ordered sources, filling absent heights from a fallback.
@@ -112,7 +113,7 @@ def archive_job(
         fetched = fallback.join(unlisted.select("height"), "height", "left_semi")
         rows = rows.unionByName(ranges.assign_batch(fetched, start_from, size).select(*rows.columns))
     began = time.monotonic()
-    totals = sink.replace_batches(rows, out, codec=codec)
+    totals = sink.replace_batches(rows, out, codec=codec, level=level)
     run_sec = time.monotonic() - began
     # The bounds leave out the folders of earlier runs.
     back = sink.read_batches(spark, out, rows.schema).where(F.col("batch_start").between(low, high))
@@ -261,12 +262,15 @@ def _unfit(wanted: DataFrame, fallback: DataFrame, fit: DataFrame) -> DataFrame:
     return known.join(fit.select("height").distinct(), "height", "left_anti")
 
 
-def import_job(spark: SparkSession, folder: str, out: str, prefix: str | None = "archives") -> DataFrame:
+def import_job(
+    spark: SparkSession, folder: str, out: str, prefix: str | None = "archives", width: int = PAD_WIDTH
+) -> DataFrame:
     """Bring existing tar archives below `folder` into a batch table for the audit.
 
     Archives count if they lie in the subfolder `prefix`; of several with one range the first
     key is taken. With a `prefix` of None, archives anywhere count, and those of one range are
-    parts of it, as :func:`pack_archives` writes them. Members become rows of `out` with ``batch_start, batch_end, parent, height, member, size,
+    parts of it, as :func:`pack_archives` writes them. Height folders have names of `width` digits.
+    Members become rows of `out` with ``batch_start, batch_end, parent, height, member, size,
     payload``; members outside height folders stay with their archive, under their whole path and
     without a height. Returns the archives that could not be read, as ``batch_start, error``.
     """
@@ -280,12 +284,12 @@ def import_job(spark: SparkSession, folder: str, out: str, prefix: str | None =
     found = materialise(found, "found")
     members = materialise(tar.expand_archives(found.select(F.col("archive").alias("path"))), "members")
     ranged = tar.readable_members(members).join(broadcast_within(found), "archive")
-    rows = ranged.withColumn("_p", path_parts("member")).select(
+    rows = ranged.withColumn("_p", path_parts("member", width)).select(
         "batch_start",
         "batch_end",
-        F.col("_p.parent").alias("parent"),
+        F.when(F.col("_p.height").isNotNull(), F.col("_p.parent")).alias("parent"),
         F.col("_p.height").alias("height"),
-        F.coalesce("_p.member", "member").alias("member"),
+        F.when(F.col("_p.height").isNotNull(), F.col("_p.member")).otherwise(F.col("member")).alias("member"),
         "size",
         F.col("payload").cast("string").alias("payload"),
     )

@@ -1,6 +1,9 @@
 """Whole jobs on small literal tables."""
 
+import io
 import json
+import os
+import tarfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -289,3 +292,50 @@ def test_import_then_audit(spark, tmp_path):
     assert rows(summary, "batch_start", "missing_heights", "missing_shards", "status") == [
         (0, 1, 0, "problem"), (10, 0, 1, "problem"), (20, 0, 0, "unreadable"),
     ]
+
+
+def test_members_outside_height_folders_stay_with_their_archive(spark, tmp_path):
+    members = [("0000004/block.json", b'{"chunks":[]}'), ("README", b"x"), ("block.json", b"y")]
+    os.makedirs(tmp_path / "archives")
+    with tarfile.open(tmp_path / "archives/0-9.tar.gz", "w:gz") as out:
+        for name, data in members:
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            out.addfile(info, io.BytesIO(data))
+    table = scratch_path(spark, "strays")
+    assert jobs.import_job(spark, str(tmp_path), table, width=7).isEmpty()
+    rows = sink.read_batches(spark, table)
+    got = sorted((r.member, r.height, r.payload) for r in rows.collect() if r.height is None) + [
+        (r.member, r.height, r.payload) for r in rows.where("height is not null").collect()
+    ]
+    assert got == [("README", None, "x"), ("block.json", None, "y"), ("block.json", 4, '{"chunks":[]}')]
+
+
+def test_packed_ranges_have_times_and_lines(spark):
+    rows = spark.createDataFrame([(h, "block.json", "x" * 3000) for h in range(25)], "height bigint, member string, payload string")
+    folder = scratch_path(spark, "packed")
+    done = jobs.pack_job(rows, folder, start_from=0, size=10, stats_path=f"{folder}-stats").orderBy("batch_start").collect()
+    assert [(r.batch_start, r.members, r.dirs, r.bytes) for r in done] == [(0, 10, 10, 30_000), (10, 10, 10, 30_000), (20, 5, 5, 15_000)]
+    assert all(0 < r.stored < r.bytes and r.compress_sec > 0 and r.upload_sec > 0 and r.download_sec >= 0 for r in done)
+    lines = spark.read.json(f"{folder}-stats").orderBy("batch").collect()
+    assert [r.batch for r in lines] == ["0-9", "10-19", "20-29"] and all(r.reduction_pct > 50 for r in lines)
+
+
+def test_broken_replies_fill_nothing_and_say_why(spark):
+    names = spark.createDataFrame([("batch_0_4",)], "name string")
+    have = spark.createDataFrame([(0, 4, "d", 0, "block.json", 3)], "batch_start bigint, batch_end bigint, parent string, height bigint, member string, size bigint")
+    bodies = [
+        (1, '{"block":{"a":1},"shards":[{"shard_id":0}]}'), (2, '{"block":{"a":1},"shards":[{"id":0}]}'),
+        (3, '{"block":{},"shards":[]}'), (0, "not asked for"),
+    ]
+    folder = scratch_path(spark, "replies")
+    totals = jobs.fix_gaps_job(
+        names, have, None, f"{folder}/out", replies=spark.createDataFrame(bodies, "height bigint, body string"), events_path=f"{folder}/events"
+    )
+    assert sorted(map(tuple, totals.select("found", "filled", "failed").collect())) == [(4, 1, 3)]
+    filled = sink.read_batches(spark, f"{folder}/out")
+    assert sorted((r.height, r.member) for r in filled.collect()) == [(1, "block.json"), (1, "shard_0.json")]
+    events = spark.read.json(f"{folder}/events")
+    failed = {r.height: r.error for r in events.where("kind = 'gap_fill_failed'").collect()}
+    assert set(failed) == {2, 3} and "shard_id" in failed[2] and "block" in failed[3]
+    assert [r.height for r in events.where("kind = 'fallback_not_found'").collect()] == [4]

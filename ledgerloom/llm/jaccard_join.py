@@ -272,8 +272,8 @@ def jaccard_join(
 
     frequencies = spark.sparkContext.broadcast(_frequencies(sets))
     entries = _prefixes(rows.where("doc_id is not null"), words, percent, frequencies)
-    # Tokens in the prefixes of at least two classes.
-    shared = entries.groupBy("token").agg(F.min("d1").alias("low"), F.max("d1").alias("high")).where("low <> high")
+    # Tokens in the prefixes of at least two documents; the same set twice is one row afterwards.
+    shared = entries.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
     met = entries.join(shared.select("token"), "token", "left_semi").distinct()
     postings = stored(met.join(classes, ["d1", "d2"]).select("token", "rid", "n", "place"), "jaccard-postings")
     possible = _possible(percent)

@@ -37,6 +37,34 @@ def of_batches(rows: DataFrame, keys: DataFrame, on: Sequence[str] = ("batch_sta
     return rows.join(broadcast_within(picked), list(on), "left_semi")
 
 
+# Keys a sketch is made of at most, bits per key and bits per word of it: 2 million words, 48 MB.
+SKETCH_KEYS, SKETCH_BITS, SKETCH_WORD = 8_000_000, 16, 64
+
+
+def possibly_among(rows: DataFrame, keys: DataFrame, key: str = "key", name: str = "key") -> DataFrame:
+    """`rows` without most of those whose `key` is none of the `keys` (column `name`), before any shuffle.
+
+    All tasks get a sketch of the keys, a bit for each among sixteen: about one in sixteen of the
+    other rows stays, so an exact join has to follow. Rows whose key is among the keys all stay.
+    With more keys than a sketch is made for, all rows stay.
+    """
+    count = keys.count()
+    if count > SKETCH_KEYS:
+        return rows
+    bits = 1 << max(6, (SKETCH_BITS * count - 1).bit_length())
+
+    def place(of: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(of).cast("string")), F.lit(bits).cast("bigint"))
+
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place(name) % SKETCH_WORD).cast("int"))
+    word = F.call_function("div", place(name), F.lit(SKETCH_WORD).cast("bigint"))
+    words = keys.where(F.col(name).isNotNull()).select(word.alias("_word"), bit.alias("_bit"))
+    sketch = words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    own = F.call_function("div", place(key), F.lit(SKETCH_WORD).cast("bigint"))
+    met = rows.withColumn("_word", own).join(F.broadcast(sketch), "_word")
+    return met.where(F.getbit("_bits", (place(key) % SKETCH_WORD).cast("int")) == 1).select(*rows.columns)
+
+
 def slice_width(start: int, stop: int) -> int:
     """Heights per slice so that ``[start, stop]`` has at most ``MAX_SLICES`` slices."""
     return max(1, -(-(stop - start + 1) // MAX_SLICES))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.checks import is_present, whole_div
 from ..functions.keys import ARCHIVE_KEY, dest_key, etag_md5
-from .common import hash_slice, running_total
+from .common import hash_slice, possibly_among, running_total
 
 DELETE_PAGE = 1000
 
@@ -43,7 +43,9 @@ def copy_plan(
     plan = _candidates(source, source_prefix, dest_prefix, copy_all_under_prefix).where("named").drop("named")
     if overwrite:
         return plan
-    return plan.join(dest.select(F.col("key").alias("dest_key")), "dest_key", "left_anti")
+    # Of a destination much larger than the plan, only what may match is shuffled.
+    held = possibly_among(dest.select(F.col("key").alias("dest_key")), plan, "dest_key", "dest_key")
+    return plan.join(held, "dest_key", "left_anti")
 
 
 def copy_counters(
@@ -102,7 +104,7 @@ def verify_content(objects: DataFrame) -> DataFrame:
 
 def exists_keys(keys: DataFrame, inventory: DataFrame) -> DataFrame:
     """``FOUND`` or ``MISSING`` per key."""
-    held = inventory.select("key", F.lit(True).alias("_held")).distinct()
+    held = possibly_among(inventory.select("key"), keys).distinct().withColumn("_held", F.lit(True))
     status = F.when(F.col("_held"), "FOUND").otherwise("MISSING")
     return keys.select("key").join(held, "key", "left").select("key", status.alias("status"))
 

@@ -29,12 +29,17 @@ def broadcast_within(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def of_batches(rows: DataFrame, keys: DataFrame, on: Sequence[str] = ("batch_start", "batch_end")) -> DataFrame:
     """Rows of the batches listed in `keys`, a small written table.
 
-    Where `rows` is a batch table, only the folders of these batches are read. Dynamic
-    partition pruning wants the listing to be a selection, hence the comparison, which holds
-    for every batch.
+    Where `rows` is a batch table, only the folders of these batches are read: those between the
+    first and the last of them, whatever their number, and of a listing that can be broadcast its
+    very folders. Dynamic partition pruning wants the listing to be a selection, hence the
+    comparison, which holds for every batch.
     """
     picked = keys.select(*on).where(F.col("batch_start") >= 0)
-    return rows.join(broadcast_within(picked), list(on), "left_semi")
+    count, low, high = picked.agg(F.count("*"), F.min("batch_start"), F.max("batch_start")).first()
+    if not count:
+        return rows.where(F.lit(False))
+    within = rows.where(F.col("batch_start").between(low, high))
+    return within.join(F.broadcast(picked) if count <= BROADCAST_ROWS else picked, list(on), "left_semi")
 
 
 # Keys a sketch is made of at most, bits per key and bits per word of it: 2 million words, 48 MB.

@@ -116,6 +116,17 @@ def test_only_folders_of_wanted_batches_are_read(spark):
     assert {r.batch_start for r in rows.collect()} == {1000}
 
 
+def test_folders_between_the_first_and_last_batch_are_read_at_most(spark, monkeypatch):
+    path = scratch_path(spark, "pruned")
+    sink.write_batches(hot_objects(spark, 5000), path, 0, 1000)
+    keys = spark.read.parquet(write(spark, spark.createDataFrame([(1000, 1999), (2000, 2999)], "batch_start bigint, batch_end bigint")))
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 1)
+    rows = common.of_batches(sink.read_batches(spark, path), keys)
+    assert "PartitionFilters: [isnotnull(batch_start" in rows._jdf.queryExecution().executedPlan().toString()
+    assert {r.batch_start for r in rows.collect()} == {1000, 2000}
+    assert common.of_batches(sink.read_batches(spark, path), keys.limit(0)).count() == 0
+
+
 def test_totals_are_combined_before_the_shuffle(spark):
     plan = stats.batch_stats(hot_objects(spark, 3000), 0, 1000)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_sum") > plan.index("Exchange")  # printed top down: partial below its exchange

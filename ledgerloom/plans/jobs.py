@@ -281,8 +281,9 @@ def import_job(
     found = found.select(
         F.col("path").alias("archive"), F.col("first").alias("batch_start"), F.col("last").alias("batch_end")
     )
-    found = materialise(found, "found")
-    members = materialise(tar.expand_archives(found.select(F.col("archive").alias("path"))), "members")
+    scratch: list[str] = []
+    found = materialise(found, "found", scratch)
+    members = materialise(tar.expand_archives(found.select(F.col("archive").alias("path"))), "members", scratch)
     ranged = tar.readable_members(members).join(broadcast_within(found), "archive")
     rows = ranged.withColumn("_p", path_parts("member", width)).select(
         "batch_start",
@@ -296,7 +297,10 @@ def import_job(
     totals = sink.replace_batches(rows, out)
     sink.require_totals(of_batches(sink.read_batches(spark, out, rows.schema), found), totals, out)
     failed = members.where("error is not null").join(found, "archive")
-    return materialise(failed.select("batch_start", "batch_end", "error"), "failed")
+    failed = materialise(failed.select("batch_start", "batch_end", "error"), "failed")
+    for part in scratch:  # the table holds all of it
+        discard(spark, part)
+    return failed
 
 
 def pack_job(

@@ -117,8 +117,13 @@ def discard(spark: SparkSession, path: str) -> None:
     store.delete(found, True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder once and read it back, where several steps need it."""
+def materialise(df: DataFrame, name: str, into: list[str] | None = None) -> DataFrame:
+    """Write `df` to the shared folder once and read it back, where several steps need it.
+
+    The path is added to `into`, for a caller that discards it when nothing reads it any more.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if into is not None:
+        into.append(path)
     return df.sparkSession.read.parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from ..functions.keys import archive_key
 from ..operators.common import of_batches
 from ..operators.ranges import assign_batch
-from ..session import exists, materialise
+from ..session import discard, exists, materialise
 from .digests import PARTITION, damaged_heights, digest, height_digests
 
 
@@ -85,14 +85,17 @@ def merge_heights(df: DataFrame, path: str, start: int = 0, size: int = 1) -> di
 
     The batches concerned are put together beside the table first, then replaced.
     """
-    spark = df.sparkSession
-    rows = materialise(binned(df, start, size), "merged")
+    spark, scratch = df.sparkSession, []
+    rows = materialise(binned(df, start, size), "merged", scratch)
     if exists(spark, path):
         touched = rows.select(*PARTITION).distinct()
         old = of_batches(read_batches(spark, path, rows.schema), touched)
         kept = old.join(rows.select(*PARTITION, "height", "member").distinct(), [*PARTITION, "height", "member"], "left_anti")
-        rows = materialise(kept.unionByName(rows), "merged")
-    return _write(balanced(rows), path, "dynamic", "none")
+        rows = materialise(kept.unionByName(rows), "merged", scratch)
+    totals_in = _write(balanced(rows), path, "dynamic", "none")
+    for part in scratch:
+        discard(spark, part)
+    return totals_in
 
 
 def read_batches(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import jobs
-from ledgerloom.session import scratch_path
+from ledgerloom.session import scratch_path, shared_dir
 from ledgerloom.sinks import archives as tar_sink
 from ledgerloom.sinks import batches as sink
 from ledgerloom.sinks import transfer
@@ -339,3 +339,19 @@ def test_broken_replies_fill_nothing_and_say_why(spark):
     failed = {r.height: r.error for r in events.where("kind = 'gap_fill_failed'").collect()}
     assert set(failed) == {2, 3} and "shard_id" in failed[2] and "block" in failed[3]
     assert [r.height for r in events.where("kind = 'fallback_not_found'").collect()] == [4]
+
+
+def test_copies_of_payload_do_not_stay_in_the_shared_folder(spark, tmp_path):
+    shared = shared_dir(spark)
+    rows = spark.createDataFrame([(h, "block.json", "x" * 30) for h in range(25)], "height bigint, member string, payload string")
+    folder = scratch_path(spark, "packed")
+    jobs.pack_job(rows, folder, start_from=0, size=10)
+    before = set(os.listdir(shared))
+    table = scratch_path(spark, "imported")
+    jobs.import_job(spark, folder, table, prefix=None)
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(shared)) - before}
+    assert left == {"imported", "failed"}
+    before = set(os.listdir(shared))
+    for _ in range(2):
+        sink.merge_heights(spark.createDataFrame([(4, "block.json", 1)], "height bigint, member string, size bigint"), f"{table}-merged", 0, 10)
+    assert set(os.listdir(shared)) - before == {os.path.basename(f"{table}-merged")}

@@ -70,15 +70,37 @@ def local_session(cores: int | str = 8, app: str = "ledgerloom", shared: str | N
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session may go without it; it then gets a temporary folder of its own.
+    On a cluster a folder of the machine's own file system, which may be a mounted store, is tried
+    out first. Only a local session may go without a folder; it then gets a temporary one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     local = spark.sparkContext.master.startswith("local")
-    if configured and (local or not qualified(spark, configured).startswith("file:")):
-        return configured.rstrip("/")
-    if not local:
+    if not configured and local:
+        return _local_folder(spark.sparkContext.applicationId)
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder(spark.sparkContext.applicationId)
+    folder = configured.rstrip("/")
+    if not local and qualified(spark, folder).startswith("file:"):
+        _require_shared(spark, folder)
+    return folder
+
+
+_tried: set[tuple[str, str]] = set()
+
+
+def _require_shared(spark: SparkSession, folder: str) -> None:
+    """Raise unless the driver sees what the tasks of a small job write; once per application."""
+    known = (spark.sparkContext.applicationId, folder)
+    if known in _tried:
+        return
+    path, tasks = f"{folder}/shared-{uuid.uuid4().hex}", 4 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).write.parquet(path)
+    found, store = hadoop_path(spark, path)
+    seen = sum(file.getPath().getName().startswith("part-") for file in store.listStatus(found))
+    store.delete(found, True)
+    if seen < tasks:
+        raise ValueError(f"executors don't share {folder}: set spark.checkpoint.dir to a folder that they do")
+    _tried.add(known)
 
 
 @cache

@@ -88,6 +88,25 @@ class WordCache:
         self._long = [w for w in fresh if len(w) > CACHE_CHARS]
         return now
 
+    def values(self, distinct: list[str]) -> list:
+        """What the function gives for each of some distinct words, where that is never None."""
+        for word in self._long:
+            del self._now[word]
+        if len(self._now) > self._size:
+            self._old, self._now = self._now, {}
+        now, found = self._now, list(map(self._now.get, distinct))
+        if self._old:
+            for k in [k for k, value in enumerate(found) if value is None]:
+                value = self._old.get(distinct[k])
+                if value is not None:
+                    found[k] = now[distinct[k]] = value
+        places = [k for k, value in enumerate(found) if value is None]
+        fresh = [distinct[k] for k in places]
+        for k, word, value in zip(places, fresh, self._encode(fresh), strict=True):
+            found[k] = now[word] = value
+        self._long = [w for w in fresh if len(w) > CACHE_CHARS]
+        return found
+
 
 def text_columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Id and text under fixed names; other columns, whatever their names, are left out."""

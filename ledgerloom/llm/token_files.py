@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import scratch_path
-from .common import slices, strings, text_columns
+from .common import slices, text_columns
 from .direct_codes import DirectCodes, encode
 from .ordering import id_cuts, in_order, with_range
 from .word_tokens import token_bytes
@@ -57,7 +57,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
 
         held = 0
         for batch in slices(batches, "text"):
-            found = token_bytes(strings(batch, "text"), tokenizer)
+            found = token_bytes(batch.column("text"), tokenizer)
             for doc_id, new, encoded in zip(
                 batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(), found, strict=True
             ):

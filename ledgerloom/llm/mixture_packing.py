@@ -178,7 +178,7 @@ def tokens(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         part, filled = TaskContext.get().partitionId(), {}
         for batch in slices(batches, "text"):
             sources, places, sizes, ids = strings(batch, "source"), [], [], []
-            for source, found in zip(sources, token_bytes(strings(batch, "text"), tokenizer), strict=True):
+            for source, found in zip(sources, token_bytes(batch.column("text"), tokenizer), strict=True):
                 found += end
                 places.append(filled.get(source, 0))
                 sizes.append(len(found) // 4)

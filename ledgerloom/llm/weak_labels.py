@@ -26,6 +26,8 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +51,10 @@ INSULTS = frozenset(
 )
 
 _WORD = re.compile(r"\w+")
-_MARKED = re.compile(r"\w[^\w\s]{2,}(?=\s|$)")
-_BARE = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")
+# Marks at the end of a word, and words of marks alone. What stands before is looked at from the
+# first mark, as a search for marks passes over letters quickly.
+_MARKED = re.compile(r"[^\w\s](?<=\w.)[^\w\s]+(?=\s|$)", re.DOTALL)
+_BARE = re.compile(r"[^\w\s](?<!\S.)[^\w\s]*(?!\S)", re.DOTALL)
 THRESHOLDS = (0.0, 0.01, 0.02, 0.05, 0.1, 0.2, 0.5)
 
 # What is known of labellers beforehand counts as so many documents, whatever the corpus.
@@ -76,18 +80,14 @@ def style(text: str) -> dict[str, float]:
     raw = np.frombuffer(text.encode(), np.uint8)
     upper = int(((raw >= 65) & (raw <= 90)).sum())
     lower = int(((raw >= 97) & (raw <= 122)).sum())
-    in_runs, run, pairs = 0, 1, 0
-    for a, b in zip(words, words[1:]):
-        if a == b:
-            run += 1
-            pairs += 1
-        else:
-            in_runs += run if run > 2 else 0
-            run = 1
-    in_runs += run if run > 2 else 0
+    # Only words that end in a mark can be marked or bare.
+    ends = " ".join([w for w in words if not w[-1].isalnum()])
+    alike = bytes(map(eq, words, words[1:]))
+    pairs = alike.count(1)
+    in_runs = sum(len(run) + 1 for run in alike.split(b"\0") if len(run) > 1) if pairs else 0
     return {
-        "marked": len(_MARKED.findall(text)) / n,
-        "bare": len(_BARE.findall(text)) / n,
+        "marked": len(_MARKED.findall(ends)) / n,
+        "bare": len(_BARE.findall(ends)) / n,
         "caps": upper / max(upper + lower, 1),
         "runs": in_runs / n,
         "pairs": pairs / n if n >= 10 else 0.0,
@@ -112,7 +112,8 @@ def stems(word: str) -> list[str]:
 
 def word_features(word: str) -> tuple[int, ...]:
     """A word and its stems."""
-    return tuple(map(feature_hash, [word, *(f"{stem}*" for stem in stems(word))]))
+    names = [word, *[word[:size] + "*" for size in range(4, min(8, len(word)))]]
+    return tuple([xxhash.xxh3_64_intdigest(name) & 0x7FFFFFFF for name in names])
 
 
 STYLE_NAMES = [f"{k} > {limit}" for k in ("marked", "bare", "caps", "runs", "pairs", "repeated") for limit in THRESHOLDS]
@@ -139,6 +140,11 @@ class Lists:
     stems: frozenset[str] = frozenset()
     chance: tuple[float, float, float] = (1 / UNSEEN_WORDS,) * 3
 
+    @cached_property
+    def starts(self) -> frozenset[str]:
+        """How words with a marked stem begin."""
+        return frozenset(stem[:4] for stem in self.stems)
+
 
 def by_chance(mean: float, variance: float) -> float:
     """What chance alone seldom exceeds."""
@@ -153,7 +159,8 @@ def toxic_votes(words: set[str], size: int, lists: Lists) -> list[int]:
     """
     by_list = len(words & INSULTS)
     by_word = len(words & lists.words)
-    by_stem = sum(not lists.stems.isdisjoint(stems(w)) for w in words) if lists.stems else 0
+    starts = lists.starts
+    by_stem = sum(not lists.stems.isdisjoint(stems(w)) for w in words if w[:4] in starts) if starts else 0
     usual = [by_chance(size * rate, size * rate) for rate in lists.chance]
 
     def vote(hits: int, usual: float) -> int:
@@ -293,7 +300,7 @@ class Classifier:
     def scores(self, texts: list[str], cache: WordCache) -> np.ndarray:
         """Probabilities (low, toxic) per text; words count as far as they exceed the allowance."""
         found = [words_of(t) for t in texts]
-        lists = [list(words) for words, _ in found]
+        lists = [words for words, _ in found]
         known = cache.lookup(lists)
         out = np.empty((len(texts), 2))
         for k, (text, words) in enumerate(zip(texts, lists, strict=True)):
@@ -309,9 +316,9 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
     def word_weights(self, words: list[str]) -> list[tuple[float, float] | None]:
-        out = []
+        out, weights = [], self.weights
         for word in words:
-            hits = [self.weights[f] for f in word_features(word) if f in self.weights]
+            hits = [hit for f in word_features(word) if (hit := weights.get(f))]
             out.append((sum(h[0] for h in hits), sum(h[1] for h in hits)) if hits else None)
         return out
 

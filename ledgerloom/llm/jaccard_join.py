@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.common import broadcast_within
+from ..session import small_batches
 from .common import slices, stored, strings, text_columns
 from .components import connected
 
@@ -39,6 +40,8 @@ from .components import connected
 BUCKET_BITS = 22
 # The table travels in slices of so many buckets.
 SLICE_BITS = 16
+# Buckets of tokens that a task holds before it counts them, 8 bytes each.
+HELD = 1 << 19
 # Pairs of ids that are sent to all tasks at most, 32 MB of them; more are shuffled.
 PAIR_ROWS = 2_000_000
 # Hash regions of the suffix filter.
@@ -78,6 +81,12 @@ def _buckets(found: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
+def _count(counts: np.ndarray, held: list[np.ndarray]) -> None:
+    """Add the buckets in `held` to `counts`, without another table of all buckets."""
+    buckets, times = np.unique(np.concatenate(held), return_counts=True)
+    counts[buckets] += times.astype(counts.dtype)
+
+
 def prefix_length(n: int, percent: int) -> int:
     """A set of `n` shares at least ``percent`` of itself with a similar one, so one of these."""
     return n - -(-percent * n // 100) + 1
@@ -93,8 +102,8 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
         for batch in slices(batches, "text"):
             found = [shingles(t, words) for t in strings(batch, "text")]
             held.append(_buckets(np.concatenate(found)))
-            if sum(map(len, held)) >= len(counts):
-                counts += np.bincount(np.concatenate(held), minlength=len(counts)).astype(np.uint32)
+            if sum(map(len, held)) >= HELD:
+                _count(counts, held)
                 held = []
             d1, d2 = _longs([_digest(f) for f in found])
             size, none = len(found), pa.nulls
@@ -110,7 +119,7 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
                 names,
             )
         if held:
-            counts += np.bincount(np.concatenate(held), minlength=len(counts)).astype(np.uint32)
+            _count(counts, held)
         parts = counts.reshape(-1, 1 << SLICE_BITS)
         used = np.flatnonzero(parts.any(axis=1)).tolist()
         size, none = len(used), pa.nulls
@@ -264,6 +273,7 @@ def jaccard_join(
     hundredths Jaccard similarity.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = text_columns(docs, id_col, text_col)
     sets = stored(_sets(rows, words), "jaccard-sets")
     own = sets.where("slice is null").select("doc_id", "n", "d1", "d2")

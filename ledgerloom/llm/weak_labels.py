@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import small_batches
 from .common import WordCache, slices, stored, strings, text_columns
 from .jaccard_join import shingles
 from .word_tokens import forget
@@ -341,9 +342,10 @@ def _of_patterns(votes: DataFrame, counted: list, most: int) -> DataFrame:
 
     Of frequent patterns a share by the hash of the id, about twice what is wanted, is ranked.
     """
-    spark = votes.sparkSession
-    share = [(r.low, r.toxic, min(1.0, 2 * (most + 10) / r["count"])) for r in counted]
-    wanted = spark.createDataFrame(share, "low int, toxic int, share double")
+    share = [min(1.0, 2 * (most + 10) / r["count"]) for r in counted]
+    columns = [pa.array([r[task] for r in counted], pa.int32()) for task in TASKS]
+    # From Arrow, as rows of Python would start Python workers of their own kind on every executor.
+    wanted = votes.sparkSession.createDataFrame(pa.table([*columns, pa.array(share, pa.float64())], [*TASKS, "share"]))
     key = F.xxhash64("doc_id")
     near = F.pmod(key, F.lit(1 << 30)) < F.col("share") * (1 << 30)
     some = votes.where("doc_id is not null").join(F.broadcast(wanted), ["low", "toxic"]).where(near)
@@ -362,6 +364,8 @@ def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
             yield batch.append_column("sketch", pa.array(least, pa.int64()))
 
     texts = docs.join(F.broadcast(chosen), "doc_id").mapInArrow(sketched, "doc_id bigint, text string, sketch bigint")
+    # Stored, as texts go on to another function: a task that runs two has two Python workers, which stay.
+    texts = stored(texts, "weak-texts")
     first = texts.groupBy("sketch").agg(F.min("doc_id").alias("doc_id"))
     return texts.join(F.broadcast(first), ["sketch", "doc_id"]).select("doc_id", "text")
 
@@ -476,6 +480,7 @@ def fit(
 
     `prior_votes` is the weight of what is known of labellers beforehand, see :func:`estimate`.
     """
+    small_batches(docs.sparkSession)
     rows = text_columns(docs, id_col, text_col)
     given = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         F.max(1 - F.col("quality")).cast("int").alias("gold_low"), F.max("toxic").cast("int").alias("gold_toxic")

@@ -46,6 +46,17 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+# Bytes of an Arrow batch of texts. Spark's own limits, 64 MB and 10,000 rows, cost each task some
+# hundred MB outside the heap: the batch, its larger buffers and Python's copy.
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python in small batches, unless the session has a limit of its own."""
+    if BATCH_KEY not in spark.conf.getAll:
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
+
+
 def local_session(cores: int | str = 8, app: str = "ledgerloom", shared: str | None = None) -> SparkSession:
     """A local session for tests and the benchmark, with `shared` as its shared folder."""
     builder = (

@@ -26,10 +26,11 @@ LEVELS = 3
 _SUM = "decimal(38,0)"
 
 
-def digest(df: DataFrame) -> Column:
-    """Aggregate over the rows of `df`, without the columns of the batch."""
+def digest(df: DataFrame, where: Column | None = None) -> Column:
+    """Aggregate over the rows of `df`, or those `where` holds for, without the columns of the batch."""
     columns = sorted(c for c in df.columns if c not in PARTITION)
     hashed = F.xxhash64(*columns).cast("decimal(20,0)")
+    hashed = hashed if where is None else F.when(where, hashed)
     return F.coalesce(F.sum(hashed).cast(_SUM), F.lit(0).cast(_SUM))
 
 

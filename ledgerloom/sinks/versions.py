@@ -1,6 +1,7 @@
 """Batch tables whose batches are replaced all at once, by one commit.
 
-Rows of a batch lie in a folder per version, ``data/batch_start=/batch_end=/version=``. A
+Rows of a batch lie in a folder per version, ``data/batch_start=/batch_end=/version=``; those of a
+write of very many batches in folders of neighbours, ``grouped/range_start=/range_end=/version=``. A
 snapshot lists the version of every batch; a commit is one small file, made only if its number is
 free, that names a snapshot. Readers take the snapshot of the highest whole commit, so a write
 that was killed leaves the old table, and a reader keeps the versions it began with until
@@ -13,21 +14,26 @@ import json
 import time
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from ..operators.common import of_batches
-from ..session import hadoop_path
+from ..session import exists, hadoop_path
 from . import digests
 from .batches import balanced, binned, stored_order, totals
+from .groups import GROUP, first_of, folders, group_width, grouped
 
 BATCH = ["batch_start", "batch_end"]
 SNAPSHOT = "batch_start bigint, batch_end bigint, version string"
 _VERSIONED = [*BATCH, "version"]
 
+# A version whose batches share folders ends in the width of these, in heights.
+_WIDTH = r"-w([0-9]+)$"
+
 # Times a commit is tried again after another one came first.
 RETRIES = 20
 
@@ -44,6 +50,7 @@ class Staged:
     parent: int
     totals: dict
     schema: StructType
+    width: int = 0
 
 
 class VersionedTable:
@@ -111,36 +118,61 @@ class VersionedTable:
             if schema is None:
                 raise ValueError(f"{self.path} has no commit")
             return self.spark.createDataFrame([], schema)
-        rows = self._rows(schema)
-        # The join puts its keys in front.
-        return of_batches(rows, self.snapshot(at), _VERSIONED).select(*(c for c in rows.columns if c != "version"))
-
-    def _rows(self, schema: StructType | None = None) -> DataFrame:
-        reader = self.spark.read
+        snapshot, width = self.snapshot(at), _width("version")
+        parts = []
+        if not exists(self.spark, f"{self.path}/grouped"):
+            parts.append((self._rows(schema), snapshot, _VERSIONED))
+        else:
+            inside = snapshot.where(width.isNotNull()).withColumn("range_start", first_of("batch_start", width))
+            # Folders of other groups and versions are pruned by the listing of those that are named.
+            parts.append((self._rows(schema, GROUP), inside, [*_VERSIONED, "range_start"]))
+            if exists(self.spark, f"{self.path}/data"):
+                parts.append((self._rows(schema), snapshot.where(width.isNull()), _VERSIONED))
+        found = []
+        for rows, named, on in parts:
+            # The join puts its keys in front.
+            kept = [c for c in rows.columns if c not in ("version", "range_start")]
+            found.append(of_batches(rows, named, on).select(*kept))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+
+    def _rows(self, schema: StructType | None = None, by: list[str] = BATCH) -> DataFrame:
+        """Rows of all versions, of those with folders `by` batch or group."""
+        reader, keys = self.spark.read, _VERSIONED if by == BATCH else [*_VERSIONED, "range_start"]
         if schema is not None:
-            reader = reader.schema(StructType([*(f for f in schema if f.name not in BATCH), *_partition_fields()]))
-        rows = reader.parquet(f"{self.path}/data")
-        kept = [c for c in rows.columns if c not in _VERSIONED]
-        return rows.select(*kept, *(F.col(c).cast("bigint").alias(c) for c in BATCH), F.col("version").cast("string").alias("version"))
+            wanted = StructType([f for f in schema if f.name not in BATCH])
+            for name in dict.fromkeys([*BATCH, *by]):
+                wanted = wanted.add(name, LongType())
+            reader = reader.schema(wanted.add("version", StringType()))
+        rows = reader.parquet(f"{self.path}/{'data' if by == BATCH else 'grouped'}")
+        kept = [c for c in rows.columns if c not in (*_VERSIONED, *GROUP)]
+        typed = [F.col(c).cast("string" if c == "version" else "bigint").alias(c) for c in keys]
+        return rows.select(*kept, *typed)
 
     # --- writing
 
-    def stage(self, df: DataFrame, start: int = 0, size: int = 1, codec: str = "zstd") -> Staged:
-        """Write rows under a new version. Readers do not see them before :meth:`commit`."""
+    def stage(
+        self, df: DataFrame, start: int = 0, size: int = 1, codec: str = "zstd", batches: DataFrame | None = None
+    ) -> Staged:
+        """Write rows under a new version. Readers do not see them before :meth:`commit`.
+
+        `batches` may list the batches of `df`, or more, where they are cheaper to count there.
+        """
         parent = self.head()
-        version = f"v{parent + 1}-{uuid.uuid4().hex[:12]}"
         rows = binned(df, start, size)
+        width = group_width(rows if batches is None else batches)
+        version = f"v{parent + 1}-{uuid.uuid4().hex[:12]}" + (f"-w{width}" if width else "")
         seen = Observation()
-        counted = stored_order(balanced(rows)).observe(seen, *(c.alias(n) for n, c in totals(rows).items()))
+        ordered = stored_order(balanced(grouped(rows, width), width), width)
+        counted = ordered.observe(seen, *(c.alias(n) for n, c in totals(rows).items()))
         writer = counted.withColumn("version", F.lit(version)).write.mode("append").option("compression", codec)
-        writer.partitionBy(*_VERSIONED).parquet(f"{self.path}/data")
-        return Staged(version, parent, seen.get, rows.schema)
+        writer.partitionBy(*folders(width), "version").parquet(f"{self.path}/{'grouped' if width else 'data'}")
+        return Staged(version, parent, seen.get, rows.schema, width)
 
     def staged(self, staged: Staged) -> DataFrame:
         """What was written under a version, read back."""
         if not staged.totals["files"]:
             return self.spark.createDataFrame([], staged.schema)
-        rows = self._rows(staged.schema).where(F.col("version") == staged.version)
+        rows = self._rows(staged.schema, GROUP if staged.width else BATCH).where(F.col("version") == staged.version)
         return rows.select(*(f.name for f in staged.schema))
 
     def damaged(self, staged: Staged, df: DataFrame, start: int = 0, size: int = 1) -> DataFrame | None:
@@ -214,8 +246,11 @@ class VersionedTable:
     # --- clearing up
 
     def _folders(self, version: str = "*"):
-        found, store = hadoop_path(self.spark, f"{self.path}/data/batch_start=*/batch_end=*/version={version}")
-        return store, list(store.globStatus(found) or [])
+        listed = []
+        for top, (first, last) in (("data", BATCH), ("grouped", GROUP)):
+            found, store = hadoop_path(self.spark, f"{self.path}/{top}/{first}=*/{last}=*/version={version}")
+            listed += store.globStatus(found) or []
+        return store, listed
 
     def forget(self, staged: Staged) -> int:
         """Remove what was staged but not committed under a version. Returns the number of folders."""
@@ -227,13 +262,16 @@ class VersionedTable:
         return len(gone)
 
     def _named(self, snapshots, version: str | None = None) -> set[tuple]:
-        """Batches and versions that snapshots name."""
+        """First and last heights and versions of the folders that snapshots name."""
         out: set[tuple] = set()
         for name in snapshots:
             rows = self.spark.read.schema(SNAPSHOT).parquet(f"{self.path}/snapshots/{name}")
             if version:
                 rows = rows.where(F.col("version") == version)
-            out.update(tuple(r) for r in rows.collect())
+            width = _width("version")
+            low = F.when(width.isNull(), F.col("batch_start")).otherwise(first_of("batch_start", width))
+            high = F.when(width.isNull(), F.col("batch_end")).otherwise(low + (width - 1))
+            out.update(tuple(r) for r in rows.select(low, high, "version").distinct().collect())
         return out
 
     def vacuum(self, grace_sec: float = 7 * 86_400) -> int:
@@ -271,5 +309,6 @@ def _key(status) -> tuple:
     return int(first), int(last), version
 
 
-def _partition_fields():
-    return StructType.fromDDL(SNAPSHOT).fields
+def _width(version: str) -> Column:
+    """Heights per folder of a version whose batches share them, null for any other."""
+    return F.nullif(F.regexp_extract(version, _WIDTH, 1), F.lit("")).cast("bigint")

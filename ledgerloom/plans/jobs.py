@@ -113,7 +113,7 @@ def archive_job(
         fetched = fallback.join(unlisted.select("height"), "height", "left_semi")
         rows = rows.unionByName(ranges.assign_batch(fetched, start_from, size).select(*rows.columns))
     began = time.monotonic()
-    totals = sink.replace_batches(rows, out, codec=codec, level=level)
+    totals = sink.replace_batches(rows, out, codec=codec, level=level, batches=pending)
     run_sec = time.monotonic() - began
     # The bounds leave out the folders of earlier runs.
     back = sink.read_batches(spark, out, rows.schema).where(F.col("batch_start").between(low, high))
@@ -399,6 +399,11 @@ def audit_repair_job(
     done = still = None
     if not dry_run:
         wanted = materialise(gaps.refetch_set(lost_h, lost_s, BY), "wanted")
+        # Read once; what follows looks at the wanted heights alone, several times.
+        fetched: list[str] = []
+        fallback = materialise(
+            fallback.join(wanted.select("height").distinct(), "height", "left_semi"), "fetched", fetched
+        )
         fit = gaps.fit_fallback(fallback)
         absent = gaps.fallback_missing(wanted, fallback, BY)
         unfit = _unfit(wanted, fallback, fit)
@@ -412,7 +417,7 @@ def audit_repair_job(
         filled = gaps.fill_gaps(broken, fit, placed, BY)
         if table:
             # Written once, in its place, and seen by nobody until it is committed.
-            staged = table.stage(filled)
+            staged = table.stage(filled, batches=touched)
             fixed = table.staged(staged)
         else:
             sink.write_batches(filled, staging)
@@ -458,6 +463,9 @@ def audit_repair_job(
         ]
     if events_path:
         records.append_lines(records.audit_events(events), events_path)
+    if not dry_run:
+        for part in fetched:
+            discard(spark, part)
 
     summary = archives.join(gaps.batch_gaps(lost_h, lost_s), list(BATCH), "left").join(bad, list(BATCH), "left")
     status = F.when(F.col("error").isNotNull(), "unreadable").when(F.col("n_heights").isNull(), "ok")

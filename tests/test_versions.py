@@ -168,3 +168,28 @@ def _without(find):
         return found if "archive_key" in batches.columns else found.where("batch_start <> 10")
 
     return scan
+
+
+def test_a_repair_reads_the_wanted_heights_of_the_fallback_once(spark, monkeypatch):
+    rows = [(b, b + 9, "d", h, "block.json", 3, HEADER) for b in (0, 10) for h in range(b, b + 10) if h != 4]
+    table = VersionedTable(spark, scratch_path(spark, "repair"))
+    table.replace(spark.createDataFrame(rows, MEMBERS))
+    copies, keep = [], jobs.materialise
+
+    def seen(df, name, into=None):
+        out = keep(df, name, into)
+        if name == "fetched":
+            copies.append(values(out, "height"))
+        return out
+
+    monkeypatch.setattr(jobs, "materialise", seen)
+    fallback = [(h, "block.json", 3, HEADER) for h in range(20)]
+    summary = jobs.audit_repair_job(
+        spark.createDataFrame([(f"archives/{b}-{b + 9}.tar.zst", 1) for b in (0, 10)], "key string, size bigint"),
+        table.read(),
+        spark.createDataFrame(fallback, "height bigint, member string, size bigint, payload string"),
+        table,
+    )
+    assert values(summary, "batch_start", "status") == [(0, "repaired"), (10, "ok")]
+    assert copies == [[(4,)]]
+    assert table.read().count() == 20

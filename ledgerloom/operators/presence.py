@@ -18,6 +18,8 @@ from ..functions.checks import whole_div
 BITS, DIGITS = 32_768, 8_192
 # A word of a bitmap: 32 bits in eight digits.
 WORD, WORD_DIGITS = 32, 8
+# Batches of fewer heights on average than this leave most of a bitmap empty.
+SHORT = BITS // 16
 
 
 def _bucket(offset: Column) -> Column:
@@ -78,10 +80,14 @@ def absent_in_batches(batches: DataFrame, present: DataFrame, keep: Sequence[str
 
     `present` holds ``batch_start, batch_end, height``; rows outside their batch count for
     nothing. `keep` names further columns of `batches` that the result carries. The buckets of
-    few long batches are dealt out to as many tasks as any shuffle.
+    few long batches are dealt out to as many tasks as any shuffle. Of short batches distinct heights
+    are shuffled: else each task would make a whole bitmap for the few heights it has of a batch.
     """
     by = ["batch_start", "batch_end"]
     inside = present.where(F.col("height").between(F.col("batch_start"), F.col("batch_end")))
+    length = batches.agg(F.avg(F.col("batch_end") - F.col("batch_start") + 1)).first()[0]
+    if length is not None and length < SHORT:
+        inside = inside.select(*by, "height").distinct().repartition(*by)
     found = bitmaps(inside, by, F.col("height") - F.col("batch_start"))
     columns = [c for c in batches.columns if c in by or c in keep]
     count = whole_div(F.col("batch_end") - F.col("batch_start"), F.lit(BITS))

@@ -95,3 +95,19 @@ def test_only_touched_heights_are_looked_at_again(spark):
     assert sorted(r.height for r in lost_h.collect()) == [3, 4]  # an empty fetched block took the place of 4's
     assert sorted(map(tuple, lost_h.collect())) == sorted(map(tuple, gaps.missing_in_range(after, 0, 4).collect()))
     assert sorted(map(tuple, lost_s.collect())) == sorted(map(tuple, gaps.missing_shards(expected, after).collect())) == [(2, 1)]
+
+
+def test_short_batches_make_no_bitmap_per_task(spark):
+    batches = spark.range(50).select((F.col("id") * 10).alias("batch_start"), (F.col("id") * 10 + 9).alias("batch_end"))
+    rows = spark.range(500).where("id % 7 <> 3").repartition(6).select(
+        (F.col("id") - F.col("id") % 10).alias("batch_start"),
+        (F.col("id") - F.col("id") % 10 + 9).alias("batch_end"),
+        F.col("id").alias("height"),
+    )
+    absent = presence.absent_in_batches(batches, rows.unionByName(rows))
+    assert sorted(r.height for r in absent.collect()) == list(range(3, 500, 7))
+    plan = absent._jdf.queryExecution().sparkPlan().toString() + absent._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    ends = [i for i, line in enumerate(lines) if "bitmap_construct_agg" in line and "Aggregate" in line]
+    between = lines[ends[-2] : ends[-1]]
+    assert "partial_bitmap_construct_agg" in lines[ends[-1]] and not any("Exchange" in line for line in between)
